@@ -1,0 +1,5 @@
+"""No streaming operator is in scope.
+
+The column functions (``apply_schema``, ``cast_temporal``, ``normalize_nulls``) are plain
+projections and so take a streaming DataFrame as it is.
+"""
