@@ -37,9 +37,12 @@ def spark_type(name: str) -> DataType:
     while replaced:  # innermost brackets first, once per nesting level
         text, replaced = _BRACKETS.subn(r"\1<\2>", text)
     try:
-        return DataType.fromDDL(text)
+        kind = DataType.fromDDL(text)
     except PySparkException as error:
         raise ValueError(f"Unknown type name: {name!r}") from error
+    if isinstance(kind, StructType) and not text.startswith("struct"):
+        raise ValueError(f"Unknown type name: {name!r}")  # columns, not a type
+    return kind
 
 
 def struct_of(schema: StructType | str | Mapping[str, str | DataType]) -> StructType:

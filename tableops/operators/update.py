@@ -60,8 +60,11 @@ def update_table(
     if only_partitions is not None:
         if moves_rows or retype:
             raise ValueError("only_partitions can neither set partition columns nor retype")
-        # Resolving against the partition columns alone refuses any other column.
-        table.select(*map(quoted, parts)).where(only_partitions)
+        if not parts:
+            raise ValueError(f"{target} has no partition columns")
+        # A frame of the partition columns alone refuses a predicate over any other column.
+        layout = StructType([table.schema[c] for c in parts])
+        spark.createDataFrame([], layout).where(only_partitions)
         table = table.where(only_partitions)
 
     updated = _updated(table, changes, hit, retype)

@@ -84,7 +84,8 @@ def save_table(
     row_schema = None
     if wanted is not None:
         row_schema = StructType([f for f in wanted if f.name.lower() not in expressions])
-    parts = [data] if is_frame(data) or not all(map(is_frame, data)) else list(data)
+    many = not is_frame(data) and len(data) > 0 and all(map(is_frame, data))
+    parts = data if many else [data]
     frames = [
         _shaped(as_frame(spark, part, row_schema), wanted, match, expressions, tokens)
         for part in parts

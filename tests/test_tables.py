@@ -1,0 +1,440 @@
+import datetime as dt
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from tableops import finish_update, rebuild_table, save_table, swap_tables, update_table
+from tableops.operators import rebuild, swap, update
+from tableops.sources.catalog import rename_table, table_name
+
+
+def rows(spark, table):
+    return sorted((tuple(r) for r in spark.sql(f"SELECT * FROM {table}").collect()), key=repr)
+
+
+def tables(spark, db):
+    return sorted(t.name for t in spark.catalog.listTables(db))
+
+
+def partitions_of(spark, table):
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def daily(spark, table):
+    frame = spark.range(300).selectExpr(
+        "id", "id * 1.0D AS value", "date_add(DATE'2024-01-01', CAST(id % 3 AS INT)) AS day"
+    )
+    save_table(spark, frame, table, partition_by=["day"])
+    return frame
+
+
+# --- update ------------------------------------------------------------------------
+
+
+def test_update_with_predicate(spark, db):
+    data = [("Test Case", "2017-05-01", 5), ("Test Case", "2017-05-01", 2), ("Other", "2017-05-01", 5)]
+    save_table(spark, data, f"{db}.t", schema={"col1": "varchar", "col2": "date", "col3": "integer"})
+    updated = update_table(
+        spark, f"{db}.t", {"col1": "'my string'", "col2": "date '2018-08-08'"},
+        "col1 = 'Test Case' and col2 < date '2018-01-01' and (col3 > 4 or col3 < 1)",
+    )
+    assert updated == 1
+    assert rows(spark, f"{db}.t") == sorted(
+        [("my string", dt.date(2018, 8, 8), 5), ("Test Case", dt.date(2017, 5, 1), 2), ("Other", dt.date(2017, 5, 1), 5)],
+        key=repr,
+    )
+    assert tables(spark, db) == ["t"]
+
+
+def test_update_all_and_old_row_is_seen(spark, db):
+    save_table(spark, spark.sql("SELECT 1 AS a, 2 AS b"), f"{db}.t")
+    assert update_table(spark, f"{db}.t", {"a": "b", "B": "a"}) == 1
+    assert rows(spark, f"{db}.t") == [(2, 1)]
+
+
+def test_null_predicate_keeps_rows(spark, db):
+    save_table(spark, [(1, 5), (2, None), (3, 1)], f"{db}.t", schema="id int, q int")
+    assert update_table(spark, f"{db}.t", {"q": "0"}, "q > 3") == 1
+    assert rows(spark, f"{db}.t") == [(1, 0), (2, None), (3, 1)]
+
+
+def test_update_to_null_and_cast_to_column_type(spark, db):
+    save_table(spark, [(1, 1.5, "a"), (2, 2.5, "b")], f"{db}.t", schema="id int, x double, s string")
+    update_table(spark, f"{db}.t", {"x": "'7'", "s": "NULL"}, "id = 2")
+    assert rows(spark, f"{db}.t") == [(1, 1.5, "a"), (2, 7.0, None)]
+    assert spark.table(f"{db}.t").schema.simpleString() == "struct<id:int,x:double,s:string>"
+
+
+def test_update_that_does_not_fit_keeps_the_table(spark, db):
+    save_table(spark, [(1, 5)], f"{db}.t", schema="id int, q int")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        update_table(spark, f"{db}.t", {"q": "concat('x', q)"})
+    assert rows(spark, f"{db}.t") == [(1, 5)]
+    # The stage left behind does not block the next update.
+    assert update_table(spark, f"{db}.t", {"q": "q + 1"}) == 1
+    assert rows(spark, f"{db}.t") == [(1, 6)]
+
+
+def test_set_expression_is_not_run_on_other_rows(spark, db):
+    save_table(spark, [(1, "5"), (2, "five")], f"{db}.t", schema="id int, s string")
+    assert update_table(spark, f"{db}.t", {"id": "CAST(s AS INT)"}, "s RLIKE '^[0-9]+$'") == 1
+    assert rows(spark, f"{db}.t") == [(2, "five"), (5, "5")]
+
+
+def test_retype(spark, db):
+    save_table(spark, [(1, "2024-01-05")], f"{db}.t", schema="id int, d string")
+    spark.sql(f"COMMENT ON TABLE {db}.t IS 'kept'")
+    with pytest.raises(ValueError, match="no predicate"):
+        update_table(spark, f"{db}.t", {"d": "cast(d as date)"}, "id = 1", retype=True)
+    assert update_table(spark, f"{db}.t", {"d": "cast(d as date)"}, retype=True) == 1
+    assert spark.table(f"{db}.t").schema.simpleString() == "struct<id:int,d:date>"
+    assert spark.catalog.getTable(f"{db}.t").description == "kept"
+
+
+def test_update_mistakes(spark, db):
+    save_table(spark, spark.sql("SELECT 1 AS a"), f"{db}.t")
+    spark.sql(f"CREATE VIEW {db}.v AS SELECT * FROM {db}.t")
+    for sets, message in [
+        ({"zz": "1"}, "No column"), ({"a": " "}, "Empty"), ({}, "Nothing"), ({"a": "1", "A": "2"}, "twice"),
+    ]:
+        with pytest.raises(ValueError, match=message):
+            update_table(spark, f"{db}.t", sets)
+    with pytest.raises(AnalysisException):
+        update_table(spark, f"{db}.t", {"a": "nope + 1"})
+    with pytest.raises(ValueError, match="does not exist"):
+        update_table(spark, f"{db}.missing", {"a": "1"})
+    with pytest.raises(ValueError, match="is a view"):
+        update_table(spark, f"{db}.v", {"a": "1"})
+    assert rows(spark, f"{db}.t") == [(1,)]
+
+
+def test_update_of_nothing(spark, db):
+    save_table(spark, spark.sql("SELECT 1 AS a"), f"{db}.t")
+    before = spark.table(f"{db}.t").inputFiles()
+    assert update_table(spark, f"{db}.t", {"a": "2"}, "a > 5") == 0
+    assert spark.table(f"{db}.t").inputFiles() == before
+    save_table(spark, spark.table(f"{db}.t").where("false"), f"{db}.none")
+    assert update_table(spark, f"{db}.none", {"a": "2"}) == 0
+    assert tables(spark, db) == ["none", "t"]
+
+
+def test_update_partitioned_keeps_layout(spark, db):
+    daily(spark, f"{db}.t")
+    assert update_table(spark, f"{db}.t", {"value": "-1"}, "id < 10") == 10
+    assert partitions_of(spark, f"{db}.t") == ["day"]
+    assert spark.table(f"{db}.t").count() == 300
+    assert spark.table(f"{db}.t").where("value = -1").count() == 10
+    assert spark.table(f"{db}.t").where("day = DATE'2024-01-02'").count() == 100
+
+
+def test_update_of_the_partition_column(spark, db):
+    daily(spark, f"{db}.t")
+    assert update_table(spark, f"{db}.t", {"day": "DATE'2024-02-01'"}, "id % 3 = 1") == 100
+    counted = spark.table(f"{db}.t").groupBy("day").count()
+    assert {r.day.isoformat(): r["count"] for r in counted.collect()} == {
+        "2024-01-01": 100, "2024-01-03": 100, "2024-02-01": 100,
+    }
+
+
+def test_update_of_null_partitions(spark, db):
+    frame = spark.createDataFrame([(1, "a"), (2, None), (3, None)], "id int, p string")
+    save_table(spark, frame, f"{db}.t", partition_by=["p"])
+    assert update_table(spark, f"{db}.t", {"id": "id * 10"}, "p IS NULL") == 2
+    assert rows(spark, f"{db}.t") == [(1, "a"), (20, None), (30, None)]
+    assert update_table(spark, f"{db}.t", {"id": "id + 1"}, only_partitions="p IS NULL") == 2
+    assert rows(spark, f"{db}.t") == [(1, "a"), (21, None), (31, None)]
+
+
+def test_update_reads_once_without_a_shuffle(spark, db, monkeypatch):
+    daily(spark, f"{db}.t")
+    plans = []
+    real = update.counted_write
+
+    def spy(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, *args)
+
+    monkeypatch.setattr(update, "counted_write", spy)
+    update_table(spark, f"{db}.t", {"value": "value + 1"}, "id > 5")
+    update_table(spark, f"{db}.t", {"value": "value + 1"}, "id > 5", only_partitions="day = DATE'2024-01-02'")
+    for plan in plans:
+        assert plan.count("FileScan") == 1
+        assert "Exchange" not in plan and "Python" not in plan
+    assert "PartitionFilters: [isnotnull(day" in plans[1]
+    assert "PartitionFilters: []" in plans[0]
+
+
+def test_update_only_partitions(spark, db):
+    daily(spark, f"{db}.t")
+    untouched = {f for f in spark.table(f"{db}.t").inputFiles() if "2024-01-02" not in f}
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    scope = "day = DATE'2024-01-02'"
+    assert update_table(spark, f"{db}.t", {"value": "value + 1000"}, "id < 50", only_partitions=scope) == 17
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+    changed = spark.table(f"{db}.t").where("value >= 1000")
+    assert changed.count() == changed.where(f"{scope} AND id < 50").count() == 17
+    assert spark.table(f"{db}.t").count() == 300
+    assert untouched <= set(spark.table(f"{db}.t").inputFiles())
+    assert tables(spark, db) == ["t"]
+
+
+def test_update_only_partitions_mistakes(spark, db):
+    daily(spark, f"{db}.t")
+    save_table(spark, spark.range(1), f"{db}.flat")
+    with pytest.raises(AnalysisException):
+        update_table(spark, f"{db}.t", {"value": "0"}, only_partitions="id < 10")
+    with pytest.raises(ValueError, match="no partition columns"):
+        update_table(spark, f"{db}.flat", {"id": "0"}, only_partitions="id < 10")
+    with pytest.raises(ValueError, match="partition columns"):
+        update_table(spark, f"{db}.t", {"day": "NULL"}, only_partitions="day IS NOT NULL")
+    assert tables(spark, db) == ["flat", "t"]
+
+
+def test_interrupted_partition_update_can_be_finished(spark, db, monkeypatch):
+    daily(spark, f"{db}.t")
+
+    def interrupted(*_):
+        raise RuntimeError("driver lost")
+
+    scope = "day < DATE'2024-01-03'"
+    with monkeypatch.context() as patch:
+        patch.setattr(update, "finish_update", interrupted)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            update_table(spark, f"{db}.t", {"value": "value + 1000"}, only_partitions=scope)
+    assert spark.table(f"{db}.t").where("value >= 1000").count() == 0
+    with pytest.raises(ValueError, match="finish_update"):
+        update_table(spark, f"{db}.t", {"value": "0"})
+    assert finish_update(spark, f"{db}.t") is True
+    assert finish_update(spark, f"{db}.t") is False
+    assert spark.table(f"{db}.t").where("value >= 1000").count() == 200
+    assert spark.table(f"{db}.t").count() == 300
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    column=st.sampled_from(["a", "b"]),
+    compare=st.sampled_from(["<", "=", ">=", "<>"]),
+    bound=st.one_of(st.none(), st.integers(-2, 4)),
+    negate=st.booleans(),
+)
+def test_update_keeps_every_row(spark, db, column, compare, bound, negate):
+    data = [(i, i % 4 if i % 3 else None, None if i % 5 == 0 else i % 7) for i in range(40)]
+    save_table(spark, data, f"{db}.p", if_exists="replace", schema="id int, a int, b int")
+    text = f"{column} {compare} {'NULL' if bound is None else bound}"
+    text = f"NOT ({text})" if negate else text
+    matching = spark.table(f"{db}.p").where(text).count()
+    assert update_table(spark, f"{db}.p", {"b": "100"}, text) == matching
+    after = spark.table(f"{db}.p")
+    assert after.select("id").distinct().count() == after.count() == 40
+    assert after.where("b = 100").count() == matching
+
+
+# --- swap --------------------------------------------------------------------------
+
+
+def test_swap(spark, db):
+    save_table(spark, spark.range(1), f"{db}.old")
+    save_table(spark, spark.range(2), f"{db}.new")
+    assert swap_tables(spark, f"{db}.new", f"{db}.old") is True
+    assert tables(spark, db) == ["old"]
+    assert spark.table(f"{db}.old").count() == 2
+
+
+def test_swap_twice_is_identity(spark, db):
+    save_table(spark, spark.range(1), f"{db}.a")
+    save_table(spark, spark.range(2), f"{db}.b")
+    swap_tables(spark, f"{db}.b", f"{db}.a", keep_backup=True)
+    assert tables(spark, db) == ["a", "a___old"]
+    rename_table(spark, table_name(spark, f"{db}.a___old"), table_name(spark, f"{db}.b"))
+    swap_tables(spark, f"{db}.b", f"{db}.a", keep_backup=True)
+    assert spark.table(f"{db}.a").count() == 1 and spark.table(f"{db}.a___old").count() == 2
+
+
+def test_swap_partitioned(spark, db):
+    daily(spark, f"{db}.old")
+    save_table(spark, spark.table(f"{db}.old").where("id < 10"), f"{db}.new", partition_by=["day"])
+    swap_tables(spark, f"{db}.new", f"{db}.old", keep_backup=True)
+    assert spark.table(f"{db}.old").count() == 10
+    assert spark.table(f"{db}.old___old").count() == 300
+    assert spark.table(f"{db}.old").where("day = DATE'2024-01-01'").count() == 4
+    # The previous backup goes, also when the new one is kept.
+    daily(spark, f"{db}.new")
+    swap_tables(spark, f"{db}.new", f"{db}.old", keep_backup=True)
+    assert spark.table(f"{db}.old").count() == 300
+    assert spark.table(f"{db}.old___old").count() == 10
+
+
+def test_swap_without_an_old_table(spark, db):
+    save_table(spark, spark.range(2), f"{db}.new")
+    with pytest.raises(ValueError, match="does not exist"):
+        swap_tables(spark, f"{db}.new", f"{db}.old")
+    assert swap_tables(spark, f"{db}.new", f"{db}.old", ignore_if_not_exists=True)
+    assert tables(spark, db) == ["old"]
+
+
+def test_swap_without_a_new_table(spark, db):
+    save_table(spark, spark.range(2), f"{db}.old")
+    save_table(spark, spark.range(3), f"{db}.old___old")
+    with pytest.raises(ValueError, match="does not exist"):
+        swap_tables(spark, f"{db}.new", f"{db}.old", ignore_if_not_exists=True)
+    assert tables(spark, db) == ["old", "old___old"]
+    with pytest.raises(ValueError, match="itself"):
+        swap_tables(spark, f"{db}.old", f"spark_catalog.{db}.old")
+
+
+def test_swap_failing_midway_is_undone(spark, db, monkeypatch):
+    daily(spark, f"{db}.old")
+    save_table(spark, spark.range(2), f"{db}.new")
+    real = swap.rename_table
+
+    def second_fails(session, source, target):
+        if source.table == "new":
+            raise RuntimeError("catalog away")
+        real(session, source, target)
+
+    monkeypatch.setattr(swap, "rename_table", second_fails)
+    with pytest.raises(RuntimeError, match="catalog away"):
+        swap_tables(spark, f"{db}.new", f"{db}.old")
+    assert tables(spark, db) == ["new", "old"]
+    assert spark.table(f"{db}.old").count() == 300
+
+
+# --- rebuild -----------------------------------------------------------------------
+
+
+def test_rebuild_joins_small_files(spark, db):
+    save_table(spark, spark.range(0, 1000, 1, 20), f"{db}.t")
+    assert rebuild_table(spark, f"{db}.t") is True
+    assert spark.table(f"{db}.t").exceptAll(spark.table(f"{db}.t___old")).count() == 0
+    assert len(spark.table(f"{db}.t___old").inputFiles()) == 20
+    assert len(spark.table(f"{db}.t").inputFiles()) == 1
+    assert rebuild_table(spark, f"{db}.t", partitions=3)
+    assert len(spark.table(f"{db}.t").inputFiles()) == 3
+    assert len(spark.table(f"{db}.t___old").inputFiles()) == 1
+    assert spark.table(f"{db}.t").count() == 1000
+
+
+def test_rebuild_partitioned(spark, db):
+    frame = spark.range(0, 3000, 1, 10).selectExpr("id", "IF(id % 3 = 0, 'hot', CAST(id % 4 AS STRING)) AS p")
+    save_table(spark, frame, f"{db}.t", partition_by=["p"], rebalance=False)
+    many = len(spark.table(f"{db}.t").inputFiles())
+    rebuild_table(spark, f"{db}.t")
+    assert partitions_of(spark, f"{db}.t") == ["p"]
+    assert len(spark.table(f"{db}.t").inputFiles()) == 5 < many
+    for one, other in [("t", "t___old"), ("t___old", "t")]:
+        assert spark.table(f"{db}.{one}").exceptAll(spark.table(f"{db}.{other}")).count() == 0
+    rebuild_table(spark, f"{db}.t", partitions=16)
+    assert spark.table(f"{db}.t").count() == 3000
+
+
+def test_rebuild_splits_a_hot_partition(spark, db):
+    frame = spark.range(0, 200_000, 1, 8).selectExpr("id", "IF(id % 3 = 0, 'hot', CAST(id % 50 AS STRING)) AS p", "uuid() AS u")
+    save_table(spark, frame, f"{db}.t", partition_by=["p"], rebalance=False)
+    # Small sizes stand in for big data: the hot partition is read by several tasks and
+    # is several times the advisory size.
+    small = {
+        "spark.sql.files.maxPartitionBytes": "128KB",
+        "spark.sql.files.openCostInBytes": "0",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        rebuild_table(spark, f"{db}.t")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    hot = [f for f in spark.table(f"{db}.t").inputFiles() if "p=hot" in f]
+    assert len(hot) > 1
+    assert spark.table(f"{db}.t").count() == 200_000
+
+
+def test_rebuild_retries_and_gives_up(spark, db, monkeypatch):
+    save_table(spark, spark.range(5), f"{db}.t")
+    calls = []
+
+    def failing(times, error):
+        real = rebuild._laid_out
+
+        def laid_out(*args):
+            calls.append(args)
+            if len(calls) <= times:
+                raise error
+            return real(*args)
+
+        return laid_out
+
+    with monkeypatch.context() as patch:
+        patch.setattr(rebuild, "_laid_out", failing(2, RuntimeError("executor lost")))
+        assert rebuild_table(spark, f"{db}.t")
+    assert len(calls) == 3
+    calls.clear()
+    with monkeypatch.context() as patch:
+        patch.setattr(rebuild, "_laid_out", failing(99, RuntimeError("executor lost")))
+        with pytest.raises(RuntimeError):
+            rebuild_table(spark, f"{db}.t", max_retries=2)
+    assert len(calls) == 3
+    calls.clear()
+    with monkeypatch.context() as patch:
+        patch.setattr(rebuild, "_laid_out", failing(99, AnalysisException("no such column")))
+        with pytest.raises(AnalysisException):
+            rebuild_table(spark, f"{db}.t")
+    assert len(calls) == 1
+    assert spark.table(f"{db}.t").count() == 5
+
+
+# --- external tables ---------------------------------------------------------------
+
+
+@pytest.fixture
+def external(spark, db, tmp_path):
+    folder = tmp_path / "ext"
+    spark.range(30).selectExpr("id", "CAST(id % 3 AS STRING) AS p").write.partitionBy("p").option(
+        "path", str(folder)
+    ).saveAsTable(f"{db}.t")
+    return f"{db}.t"
+
+
+def location(spark, table):
+    return spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Location'").first().data_type
+
+
+def test_external_stays_external_and_outside_the_warehouse(spark, db, external, tmp_path):
+    assert update_table(spark, external, {"id": "id + 100"}, "p = '1'") == 10
+    assert spark.table(external).where("id >= 100").count() == 10
+    save_table(spark, spark.sql("SELECT 1, 'x'"), external, if_exists="append")
+    rebuild_table(spark, external)
+    assert update_table(spark, external, {"id": "CAST(id AS STRING)"}, retype=True) == 31
+    save_table(spark, spark.sql("SELECT 1 AS a"), external, if_exists="replace", keep_structure=False)
+    assert rows(spark, external) == [(1,)]
+    assert spark.catalog.getTable(external).tableType == "EXTERNAL"
+    place = location(spark, external)
+    assert f"{tmp_path}/ext___" in place and place.count("___") == 1
+
+
+def test_external_update_of_one_partition(spark, db, external):
+    before = location(spark, external)
+    assert update_table(spark, external, {"id": "-1"}, only_partitions="p = '2'") == 10
+    assert spark.table(external).where("id = -1 AND p = '2'").count() == 10
+    assert spark.table(external).count() == 30 and location(spark, external) == before
+
+
+def test_format_and_bucketing_are_kept(spark, db):
+    spark.range(100).selectExpr("id", "id % 7 AS k").write.format("orc").bucketBy(4, "k").saveAsTable(f"{db}.t")
+    update_table(spark, f"{db}.t", {"id": "id + 1"}, "k = 3")
+    rebuild_table(spark, f"{db}.t")
+    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {db}.t").collect()}
+    assert about["Provider"] == "orc" and about["Num Buckets"] == "4"
+    assert spark.table(f"{db}.t").count() == 100
+
+
+def test_retype_keeps_the_format(spark, db):
+    spark.range(10).write.format("orc").saveAsTable(f"{db}.t")
+    update_table(spark, f"{db}.t", {"id": "CAST(id AS STRING)"}, retype=True)
+    assert spark.table(f"{db}.t").where(F.col("id") == "3").count() == 1
+    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {db}.t").collect()}
+    assert about["Provider"] == "orc"

@@ -1,0 +1,280 @@
+import datetime as dt
+import decimal
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from tableops import bulk_insert, create_from_data, save_table, table_schema
+
+PEOPLE = {"name": "varchar", "age": "integer", "birth_date": "date"}
+
+
+def rows(spark, table, order="1"):
+    return [tuple(r) for r in spark.sql(f"SELECT * FROM {table} ORDER BY {order}").collect()]
+
+
+def tables(spark, db):
+    return sorted(t.name for t in spark.catalog.listTables(db))
+
+
+def test_create_from_rows(spark, db):
+    data = [("Ann", 34, "1990-02-01"), ["Bob's", "41", dt.date(1983, 5, 6)]]
+    assert save_table(spark, data, f"{db}.people", schema=PEOPLE) == 2
+    assert rows(spark, f"{db}.people") == [
+        ("Ann", 34, dt.date(1990, 2, 1)),
+        ("Bob's", 41, dt.date(1983, 5, 6)),
+    ]
+
+
+def test_every_writable_type(spark, db):
+    schema = {
+        "s": "varchar(10)", "l": "bigint", "i": "integer", "m": "decimal", "m2": "decimal(5,2)",
+        "x": "double", "t": "timestamp", "d": "date", "b": "boolean", "a": "array(bigint)",
+        "aa": "array<array<varchar>>", "p": "map(varchar,double)",
+    }
+    row = (
+        "it's", 2**40, 7, "1.25", decimal.Decimal("3.14"), 1e-7, dt.datetime(2024, 1, 5, 1, 2, 3),
+        "2024-01-05", True, [1, 2], [["a"], ["b", "c"]], {"k": 1, "j": 2.5},
+    )
+    save_table(spark, [row, (None,) * len(row)], f"{db}.t", schema=schema)
+    stored = spark.table(f"{db}.t").where("s IS NOT NULL").first()
+    assert stored.m == decimal.Decimal("1.25") and stored.m2 == decimal.Decimal("3.14")
+    assert stored[:3] == ("it's", 2**40, 7) and stored.x == 1e-7 and stored.b is True
+    assert stored.t == dt.datetime(2024, 1, 5, 1, 2, 3) and stored.d == dt.date(2024, 1, 5)
+    assert stored.a == [1, 2] and stored.aa == [["a"], ["b", "c"]] and stored.p == {"k": 1.0, "j": 2.5}
+    assert set(spark.table(f"{db}.t").where("s IS NULL").first()) == {None}
+
+
+def test_null_tokens_in_rows(spark, db):
+    data = [("null", "NaN", None), ("Null", float("nan"), "null"), ("x", 1, "2024-01-05")]
+    save_table(spark, data, f"{db}.t", schema={"s": "varchar", "i": "bigint", "d": "date"})
+    assert spark.table(f"{db}.t").where("s IS NULL AND i IS NULL AND d IS NULL").count() == 2
+    save_table(spark, [("null",)], f"{db}.kept", schema={"s": "varchar"}, null_tokens=())
+    assert rows(spark, f"{db}.kept") == [("null",)]
+
+
+def test_fail_mode(spark, db):
+    df = spark.range(3)
+    assert save_table(spark, df, f"{db}.t") == 3
+    with pytest.raises(ValueError, match="already exists"):
+        save_table(spark, df, f"{db}.t", if_exists="FAIL")
+    assert rows(spark, f"{db}.t") == [(0,), (1,), (2,)]
+
+
+def test_unknown_modes(spark, db):
+    with pytest.raises(ValueError, match="if_exists"):
+        save_table(spark, spark.range(1), f"{db}.t", if_exists="upsert")
+    with pytest.raises(ValueError, match="match"):
+        save_table(spark, spark.range(1), f"{db}.t", match="guess")
+    assert tables(spark, db) == []
+
+
+def test_append_goes_by_position(spark, db):
+    save_table(spark, spark.sql("SELECT 1 AS a, 2 AS b"), f"{db}.t", if_exists="append")
+    assert save_table(spark, spark.sql("SELECT '3' AS b, 4 AS a"), f"{db}.t", if_exists="append") == 1
+    assert rows(spark, f"{db}.t") == [(1, 2), (3, 4)]
+
+
+def test_append_by_name(spark, db):
+    save_table(spark, spark.sql("SELECT 1 AS a, 2 AS b"), f"{db}.t")
+    save_table(spark, spark.sql("SELECT 3 AS B, 4 AS a"), f"{db}.t", if_exists="append", match="name")
+    assert rows(spark, f"{db}.t") == [(1, 2), (4, 3)]
+    with pytest.raises(ValueError, match="has columns"):
+        save_table(spark, spark.sql("SELECT 3 AS c, 4 AS a"), f"{db}.t", if_exists="append", match="name")
+
+
+def test_append_rows_without_types(spark, db):
+    save_table(spark, [("a", 1)], f"{db}.t", schema={"s": "varchar", "i": "integer"})
+    assert save_table(spark, [("b", "2"), ("c", None)], f"{db}.t", if_exists="append") == 2
+    assert rows(spark, f"{db}.t") == [("a", 1), ("b", 2), ("c", None)]
+
+
+def test_append_that_does_not_fit(spark, db):
+    save_table(spark, [("a", 1)], f"{db}.t", schema={"s": "varchar", "i": "integer"})
+    with pytest.raises(ValueError, match="3 columns, the table 2"):
+        save_table(spark, spark.sql("SELECT 1, 2, 3"), f"{db}.t", if_exists="append")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        save_table(spark, [("b", "two")], f"{db}.t", if_exists="append")
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        save_table(spark, spark.sql("SELECT 'b', 3000000000"), f"{db}.t", if_exists="append")
+    assert rows(spark, f"{db}.t") == [("a", 1)]
+
+
+def test_append_to_partitioned(spark, db):
+    save_table(spark, spark.sql("SELECT 1 AS x, 'a' AS p"), f"{db}.t", partition_by=["p"])
+    more = spark.sql("SELECT id, IF(id % 2 = 0, 'a', 'b') FROM range(10)")
+    assert save_table(spark, more, f"{db}.t", if_exists="append") == 10
+    assert spark.table(f"{db}.t").groupBy("p").count().orderBy("p").collect()[0][:] == ("a", 6)
+    with pytest.raises(ValueError, match="own partitioning"):
+        save_table(spark, more, f"{db}.t", if_exists="append", partition_by=["x"])
+
+
+def test_replace_keeps_structure(spark, db):
+    save_table(spark, spark.sql("SELECT 1 AS a, 'x' AS b"), f"{db}.t", partition_by=["b"])
+    spark.sql(f"ALTER TABLE {db}.t SET TBLPROPERTIES ('team' = 'it''s us')")
+    spark.sql(f"COMMENT ON TABLE {db}.t IS 'our table'")
+    new = spark.sql("SELECT '5' AS c, 6 AS d")
+    assert save_table(spark, new, f"{db}.t", if_exists="replace") == 1
+    assert rows(spark, f"{db}.t") == [(5, "6")]
+    assert spark.table(f"{db}.t").schema.simpleString() == "struct<a:int,b:string>"
+    assert [c.name for c in spark.catalog.listColumns(f"{db}.t") if c.isPartition] == ["b"]
+    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {db}.t").collect()}
+    assert about["Comment"] == "our table" and "its us" in about["Table Properties"].replace("'", "")
+    assert tables(spark, db) == ["t"]
+
+
+def test_replace_with_new_structure(spark, db):
+    save_table(spark, spark.sql("SELECT 1 AS a, 'x' AS b"), f"{db}.t")
+    new = spark.sql("SELECT '5' AS c, 6 AS d")
+    save_table(spark, new, f"{db}.t", if_exists="replace", keep_structure=False, partition_by=["d"])
+    assert spark.table(f"{db}.t").schema.simpleString() == "struct<c:string,d:int>"
+    assert rows(spark, f"{db}.t") == [("5", 6)]
+    save_table(spark, [(1,)], f"{db}.t", if_exists="replace", schema={"z": "double"})
+    assert spark.table(f"{db}.t").schema.simpleString() == "struct<z:double>"
+
+
+def test_replace_from_itself(spark, db):
+    save_table(spark, spark.range(10), f"{db}.t")
+    save_table(spark, spark.table(f"{db}.t").where("id > 6"), f"{db}.t", if_exists="replace")
+    assert rows(spark, f"{db}.t") == [(7,), (8,), (9,)]
+
+
+def test_failed_replace_keeps_the_old_table(spark, db):
+    save_table(spark, spark.range(3), f"{db}.t")
+    bad = spark.range(5).select(F.raise_error(F.lit("broken input")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="broken input"):
+        save_table(spark, bad, f"{db}.t", if_exists="replace")
+    assert rows(spark, f"{db}.t") == [(0,), (1,), (2,)]
+    # What the failure left does not stand in the way of the next run.
+    assert save_table(spark, spark.range(1), f"{db}.t", if_exists="replace") == 1
+    assert rows(spark, f"{db}.t") == [(0,)]
+
+
+def test_replace_missing_table_creates_it(spark, db):
+    assert save_table(spark, spark.range(2), f"{db}.t", if_exists="replace") == 2
+    assert tables(spark, db) == ["t"]
+
+
+@pytest.mark.parametrize("mode", ["fail", "append", "replace"])
+def test_empty_data(spark, db, mode):
+    empty = spark.range(5).where("id < 0").withColumn("p", F.lit("a"))
+    assert save_table(spark, empty, f"{db}.t", if_exists=mode, partition_by=["p"]) == 0
+    assert rows(spark, f"{db}.t") == []
+    assert spark.table(f"{db}.t").schema.simpleString() == "struct<id:bigint,p:string>"
+    if mode != "fail":
+        assert save_table(spark, empty, f"{db}.t", if_exists=mode) == 0
+    assert save_table(spark, [], f"{db}.u", if_exists=mode, schema=PEOPLE) == 0
+    assert spark.table(f"{db}.u").columns == list(PEOPLE)
+
+
+def test_rows_need_a_schema(spark, db):
+    with pytest.raises(ValueError, match="schema"):
+        save_table(spark, [(1, 2)], f"{db}.t")
+    with pytest.raises(ValueError, match="3 values, the schema 2"):
+        save_table(spark, [(1, 2), (1, 2, 3)], f"{db}.t", schema="a int, b int")
+
+
+def test_expressions(spark, db):
+    base = spark.createDataFrame([("some string", 2, "null")], "a string, b int, c string")
+    save_table(spark, base, f"{db}.t", expressions={"A": "substr(a, 1, 5)", "e": "b * 10", "c": "'nan'"})
+    assert rows(spark, f"{db}.t") == [("some ", 2, "nan", 20)]
+    # In an existing or given structure expressions go by name, the rest by position.
+    save_table(spark, [("x", 1.5)], f"{db}.u", schema="k string, e string, v double", expressions={"e": "concat(k, k)"})
+    assert rows(spark, f"{db}.u") == [("x", "xx", 1.5)]
+    with pytest.raises(ValueError, match="no column"):
+        save_table(spark, base, f"{db}.u", if_exists="append", expressions={"zz": "1"})
+
+
+def test_expression_sees_the_input_row(spark, db):
+    base = spark.sql("SELECT 1 AS a, 2 AS b")
+    save_table(spark, base, f"{db}.t", expressions={"a": "b", "b": "a"})
+    assert rows(spark, f"{db}.t") == [(2, 1)]
+
+
+def test_pandas_inputs(spark, db):
+    frame = pd.DataFrame(
+        {"s": ["a", None], "i": [1, 2], "x": [1.5, float("nan")], "b": [True, False],
+         "t": pd.to_datetime(["2024-01-05", "2024-01-06"])}
+    )
+    assert save_table(spark, frame, f"{db}.t") == 2
+    kinds = {r.col_name: r.col_type for r in table_schema(spark, f"{db}.t").collect()}
+    assert kinds["s"] == "string" and kinds["i"] == "bigint" and kinds["x"] == "double"
+    assert kinds["b"] == "boolean" and kinds["t"].startswith("timestamp")
+    assert spark.table(f"{db}.t").where("s IS NULL AND x IS NULL").count() == 1
+    distributed = spark.table(f"{db}.t").pandas_api()
+    assert save_table(spark, distributed, f"{db}.t", if_exists="append") == 2
+    assert spark.table(f"{db}.t").count() == 4
+
+
+def test_parts_keep_duplicates(spark, db):
+    part = spark.range(3)
+    assert save_table(spark, [part, part, pd.DataFrame({"id": [0]})], f"{db}.t") == 7
+    assert rows(spark, f"{db}.t").count((0,)) == 3
+
+
+def test_a_row_of_lists_is_a_row(spark, db):
+    save_table(spark, [([1, 2], [3, 4])], f"{db}.t", schema="a array<int>, b array<int>")
+    assert rows(spark, f"{db}.t") == [([1, 2], [3, 4])]
+
+
+def test_bulk_insert(spark, db):
+    with pytest.raises(ValueError, match="does not exist"):
+        bulk_insert(spark, f"{db}.t", [(1, "a")])
+    save_table(spark, [(1, "a")], f"{db}.t", schema="i int, s string")
+    assert bulk_insert(spark, f"{db}.t", [("2", "b"), (3, None)]) == 2
+    assert bulk_insert(spark, f"{db}.t", [("4", "null")], types=["bigint", "varchar"]) == 1
+    assert rows(spark, f"{db}.t") == [(1, "a"), (2, "b"), (3, None), (4, None)]
+
+
+def test_create_from_data(spark, db):
+    data = [(1, "a"), (1, "a")]
+    assert create_from_data(spark, f"{db}.t", data, data, schema={"i": "integer", "s": "varchar"}) == 4
+    assert rows(spark, f"{db}.t") == [(1, "a")] * 4
+    with pytest.raises(ValueError, match="already exists"):
+        create_from_data(spark, f"{db}.t", data, schema="i int, s string")
+    create_from_data(spark, f"{db}.t", [("z",)], schema="only string", drop_if_exists=True)
+    assert rows(spark, f"{db}.t") == [("z",)]
+    assert tables(spark, db) == ["t"]
+
+
+def test_table_schema(spark, db):
+    assert table_schema(spark, f"{db}.missing") is None
+    save_table(spark, spark.sql("SELECT 1 AS x, 'a' AS p"), f"{db}.t", partition_by=["p"])
+    assert [tuple(r) for r in table_schema(spark, f"spark_catalog.{db}.t").collect()] == [
+        (0, "x", "int"),
+        (1, "p", "string"),
+    ]
+    with pytest.raises(ValueError, match="db.table"):
+        table_schema(spark, "other.catalog.t")
+
+
+def test_names(spark, db):
+    spark.sql(f"USE {db}")
+    try:
+        save_table(spark, spark.range(1), "plain")
+        save_table(spark, spark.range(2), f"`{db}`.`1_odd`")
+    finally:
+        spark.sql("USE default")
+    assert tables(spark, db) == ["1_odd", "plain"]
+    odd = spark.sql("SELECT 1 AS `a b`, 2 AS `c.d`, 'null' AS `e``f`")
+    save_table(spark, odd, f"{db}.cols")
+    assert rows(spark, f"{db}.cols") == [(1, 2, None)]
+    save_table(spark, odd, f"{db}.cols", if_exists="append")
+    save_table(spark, odd, f"{db}.cols", if_exists="append", match="name")
+    assert spark.table(f"{db}.cols").count() == 3
+
+
+def test_partitioned_write_makes_few_files(spark, db):
+    wide = spark.range(0, 10000, 1, 16).withColumn("p", F.col("id") % 5)
+    save_table(spark, wide, f"{db}.few", partition_by=["p"])
+    save_table(spark, wide, f"{db}.many", partition_by=["p"], rebalance=False)
+    few, many = (len(spark.table(f"{db}.{t}").inputFiles()) for t in ("few", "many"))
+    assert few == 5 and many == 80
+    assert spark.table(f"{db}.few").count() == spark.table(f"{db}.many").count() == 10000
+
+
+def test_count_survives_a_shuffle(spark, db):
+    skewed = spark.range(5000).selectExpr("id", "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS k")
+    per_key = skewed.groupBy("k").count()
+    assert save_table(spark, per_key, f"{db}.t") == per_key.count()
