@@ -6,24 +6,25 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tableops.operators.swap import swap_tables
-from tableops.sources.catalog import (
-    TableName,
-    create_like,
-    require_table,
-    table_name,
-)
+from tableops.sources.catalog import TableName, create_like, require_table, table_name
 
 STAGE_SUFFIX = "___new"
 
 
 def rebuild_table(
-    spark: SparkSession, name: str, partitions: int | None = None, max_retries: int = 5
+    spark: SparkSession,
+    name: str,
+    partitions: int | None = None,
+    max_retries: int = 5,
+    shuffle: bool = True,
 ) -> bool:
     """Copy a table into fresh files, swap the copy in and keep the old one as ``___old``.
 
     Files come out at the session's advisory size: adaptive execution joins small shuffle
     partitions and splits big ones, hot table partitions included. ``partitions`` fixes
     the task count of an unpartitioned copy, and is the shuffle width of a partitioned one.
+    ``shuffle=False`` copies as the scan packs its files, which costs no shuffle and is
+    enough where they are not very small.
 
     A failed copy is repeated up to ``max_retries`` times, unless the statement itself is
     at fault.
@@ -31,18 +32,19 @@ def rebuild_table(
     target = table_name(spark, name)
     info = require_table(spark, target)
     stage = target.with_suffix(STAGE_SUFFIX)
-    attempt = 0
+    by = info.get("partition_columns") or []
+    failures = 0
     while True:
         try:
             create_like(spark, stage, target, info)
-            _laid_out(spark, target, info.get("partition_columns") or [], partitions)\
-                .write.insertInto(str(stage))
+            copy = _laid_out(spark, target, by, partitions) if shuffle else spark.table(str(target))
+            copy.write.insertInto(str(stage))
             break
         except AnalysisException:
             raise
         except Exception:
-            attempt += 1
-            if attempt > max_retries:
+            failures += 1
+            if failures > max_retries:
                 raise
     return swap_tables(spark, stage, target, keep_backup=True)
 

@@ -150,6 +150,9 @@ def _updated(
         new = F.expr(changes[name])
         if retype:
             return new.alias(name)
-        return F.when(hit, new.cast(table.schema[name].dataType)).otherwise(old).alias(name)
+        new = new.cast(table.schema[name].dataType)
+        return F.when(F.col(_HIT), new).otherwise(old).alias(name)
 
-    return table.select(*map(column, table.columns), hit.alias(_HIT))
+    # The predicate has its own projection, so that it is evaluated once per row, and a
+    # subquery in it joined once, however many columns are set.
+    return table.withColumn(_HIT, hit).select(*map(column, table.columns), _HIT)

@@ -147,9 +147,9 @@ def _empty_days(spark: SparkSession, target: str, day_col: str, days: list[dt.da
     """Overwrite with no rows those of the days that exist as partitions."""
     texts = {f"{day_col}={day.isoformat()}": day for day in days}
     listed = spark.sql(f"SHOW PARTITIONS {target}").where(F.col("partition").isin(list(texts)))
-    others = ", ".join(quoted(c) for c in spark.table(target).columns[:-1])
+    nulls = ", ".join("NULL" for _ in spark.table(target).columns[:-1])
     for row in listed.toLocalIterator():
         spark.sql(
             f"INSERT OVERWRITE TABLE {target} {_partition(day_col, texts[row.partition])} "
-            f"SELECT {others} FROM {target} WHERE false"
+            f"SELECT {nulls} WHERE false"
         )

@@ -94,6 +94,43 @@ def test_retype(spark, db):
     assert spark.catalog.getTable(f"{db}.t").description == "kept"
 
 
+@pytest.mark.parametrize(
+    ("where", "hits"),
+    [
+        ("id IN (SELECT id FROM {db}.picked)", [1, 2]),
+        ("id NOT IN (SELECT id FROM {db}.picked WHERE id IS NOT NULL)", [3]),
+        ("id NOT IN (SELECT id FROM {db}.picked)", []),
+        ("EXISTS (SELECT 1 FROM {db}.picked p WHERE p.id = t.id AND p.id > 1)", [2]),
+        ("id = (SELECT max(id) FROM {db}.t)", [3]),
+        ("q > 3 OR id IN (SELECT id FROM {db}.picked)", [1, 2]),
+        ("t.q = 5 AND {db}.t.id < 9", [1]),
+    ],
+)
+def test_update_with_subqueries(spark, db, where, hits):
+    save_table(spark, [(1, 5), (2, None), (3, 1)], f"{db}.t", schema="id int, q int")
+    save_table(spark, [(1,), (2,), (2,), (None,)], f"{db}.picked", schema="id int")
+    sets = {"q": f"(SELECT count(*) FROM {db}.picked) + 100"}
+    assert update_table(spark, f"{db}.t", sets, where.format(db=db)) == len(hits)
+    assert [r.id for r in spark.table(f"{db}.t").where("q = 104").orderBy("id").collect()] == hits
+    assert spark.table(f"{db}.t").count() == 3
+
+
+def test_subquery_in_the_predicate_is_joined_once(spark, db, monkeypatch):
+    save_table(spark, [(1, 5, 5)], f"{db}.t", schema="id int, q int, r int")
+    save_table(spark, [(1,)], f"{db}.picked", schema="id int")
+    plans = []
+    real = update.counted_write
+
+    def spy(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, *args)
+
+    monkeypatch.setattr(update, "counted_write", spy)
+    where = f"id IN (SELECT id FROM {db}.picked)"
+    assert update_table(spark, f"{db}.t", {"q": "0", "r": "0"}, where) == 1
+    assert plans[0].count("ExistenceJoin") == 1
+
+
 def test_update_mistakes(spark, db):
     save_table(spark, spark.sql("SELECT 1 AS a"), f"{db}.t")
     spark.sql(f"CREATE VIEW {db}.v AS SELECT * FROM {db}.t")
@@ -317,6 +354,13 @@ def test_rebuild_joins_small_files(spark, db):
     assert spark.table(f"{db}.t").count() == 1000
 
 
+def test_rebuild_without_a_shuffle(spark, db):
+    daily(spark, f"{db}.t")
+    assert rebuild_table(spark, f"{db}.t", shuffle=False)
+    assert spark.table(f"{db}.t").exceptAll(spark.table(f"{db}.t___old")).count() == 0
+    assert spark.table(f"{db}.t").count() == 300
+
+
 def test_rebuild_partitioned(spark, db):
     frame = spark.range(0, 3000, 1, 10).selectExpr("id", "IF(id % 3 = 0, 'hot', CAST(id % 4 AS STRING)) AS p")
     save_table(spark, frame, f"{db}.t", partition_by=["p"], rebalance=False)
