@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # What may hold a semicolon without ending a statement: comments, raw and plain literals,
 # quoted names. Spark reads the statements themselves, comments included.
-_COMMENT = r"--[^\n]*|/\*.*?\*/"
+_COMMENT = r"--[^\n]*|/\*(?:/\*.*?\*/|.)*?\*/"  # a comment may hold one more
 _LITERAL = r"""\b[rR]'[^']*'|\b[rR]"[^"]*"|'(?:\\.|[^'\\])*'|"(?:\\.|[^"\\])*"|`[^`]*`"""
 _TOKEN = re.compile(f"(?P<comment>{_COMMENT})|{_LITERAL}|(?P<end>;)", re.DOTALL)
 

@@ -1,6 +1,8 @@
 import datetime as dt
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tableops import backfill_daily, backfill_range, daily_slices, run_script, save_table
@@ -38,6 +40,41 @@ def test_split(script, expected):
     assert split_script(script) == expected
 
 
+PIECES = st.sampled_from(
+    ["SELECT 1", " x ", "'a;b'", "'it''s'", r"'\';'", '"q;"', "`n;m`", "r'\\'", "-- c; 'd\n", "/* e; ' */", "/* a /* ; */ ; */", "-", "/"]
+)
+
+
+@given(st.lists(st.lists(PIECES, min_size=1, max_size=5).map(" ".join), max_size=6))
+def test_split_undoes_join(statements):
+    def has_code(text):
+        for comment in ("-- c; 'd\n", "/* e; ' */", "/* a /* ; */ ; */"):
+            text = text.replace(comment, "")
+        return bool(text.strip())
+
+    expected = [s.strip() for s in statements if has_code(s)]
+    assert split_script("\n;\n".join(statements)) == expected
+
+
+def test_resumed_script_equals_an_unbroken_one(spark, db):
+    def script(table, gate):
+        return f"""
+            CREATE TABLE {db}.{table} (x INT) USING parquet;
+            INSERT INTO {db}.{table} VALUES (1);
+            INSERT INTO {db}.{table} SELECT x + 1 FROM {db}.{table};
+            INSERT INTO {db}.{table} SELECT x + y FROM {db}.{table} CROSS JOIN {gate};
+            INSERT INTO {db}.{table} SELECT max(x) * 10 FROM {db}.{table};
+        """
+
+    spark.sql(f"CREATE TABLE {db}.ready USING parquet AS SELECT 100 AS y")
+    assert run_script(spark, script("whole", f"{db}.ready"))["succeeded"]
+    broken = run_script(spark, script("resumed", f"{db}.late"))
+    assert not broken["succeeded"] and len(broken["sqls"]) == 2
+    spark.sql(f"CREATE TABLE {db}.late USING parquet AS SELECT 100 AS y")
+    assert run_script(spark, broken["sqls"])["succeeded"]
+    assert rows(spark, f"{db}.resumed") == rows(spark, f"{db}.whole")
+
+
 def test_script_runs_in_order(spark, db):
     result = run_script(
         spark,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import duckdb
 import pyarrow as pa
 import pytest
@@ -9,7 +11,7 @@ import pytest
 import __spark_entry__ as contract
 from tests.conftest import DATA
 
-SF_DIR = str(DATA / "sf0.01")
+SF_DIR = os.environ.get("QUERY_SF_DIR", str(DATA / "sf0.01"))
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableops import bulk_insert, create_from_data, save_table, table_schema
+from tableops.operators import write
+from tests.plans import executed_plan
 
 PEOPLE = {"name": "varchar", "age": "integer", "birth_date": "date"}
 
@@ -274,6 +276,34 @@ def test_partitioned_write_makes_few_files(spark, db):
     assert spark.table(f"{db}.few").count() == spark.table(f"{db}.many").count() == 10000
 
 
+def test_write_plans(spark, db, monkeypatch):
+    plans = []
+    real = write.counted_write
+
+    def spy(df, writer, *args):
+        def seen(out):
+            plans.append(executed_plan(out))
+            writer(out)
+
+        return real(df, seen, *args)
+
+    monkeypatch.setattr(write, "counted_write", spy)
+    wide = spark.range(0, 1000, 1, 4).selectExpr("id", "IF(id % 3 = 0, 'null', 'b') AS s", "id % 5 AS p")
+    save_table(spark, wide, f"{db}.flat")
+    save_table(spark, wide, f"{db}.flat", if_exists="append")
+    save_table(spark, wide, f"{db}.flat", if_exists="replace")
+    save_table(spark, wide, f"{db}.parts", partition_by=["p"])
+    save_table(spark, wide, f"{db}.parts", if_exists="append")
+    save_table(spark, wide, f"{db}.parts", if_exists="append", rebalance=False)
+    shuffles = [plan.split("\n\n")[0].count("Exchange") for plan in plans]
+    assert shuffles == [0, 0, 0, 1, 1, 0]
+    for plan in plans:
+        tree = plan.split("\n\n")[0]
+        assert "CollectMetrics" in tree and "Python" not in plan and "Pandas" not in plan
+        # Counted above, that is after, the shuffle.
+        assert "Exchange" not in tree[: tree.index("CollectMetrics")]
+
+
 def test_count_survives_a_shuffle(spark, db):
     skewed = spark.range(5000).selectExpr("id", "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS k")
     per_key = skewed.groupBy("k").count()
