@@ -16,7 +16,7 @@ def rows(spark, table):
 
 
 def tables(spark, db):
-    return sorted(t.name for t in spark.catalog.listTables(db))
+    return sorted(t.name for t in spark.catalog.listTables(db) if not t.isTemporary)
 
 
 def partitions_of(spark, table):

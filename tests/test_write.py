@@ -17,7 +17,7 @@ def rows(spark, table, order="1"):
 
 
 def tables(spark, db):
-    return sorted(t.name for t in spark.catalog.listTables(db))
+    return sorted(t.name for t in spark.catalog.listTables(db) if not t.isTemporary)
 
 
 def test_create_from_rows(spark, db):
