@@ -57,10 +57,6 @@ def describe(spark: SparkSession, name: TableName) -> dict[str, Any]:
     return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {name} AS JSON").first()[0])
 
 
-def partition_columns(spark: SparkSession, name: TableName) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(str(name)) if c.isPartition]
-
-
 def table_schema(spark: SparkSession, name: str) -> DataFrame | None:
     """Position, name and type of a table's columns, or None if there is no such table."""
     target = table_name(spark, name)
@@ -114,8 +110,8 @@ def drop_table(spark: SparkSession, name: TableName) -> None:
 
 def rename_table(spark: SparkSession, source: TableName, target: TableName) -> None:
     """Rename, and point the partitions of a managed table at the directory's new path."""
-    managed = describe(spark, source).get("type") == "MANAGED"
+    info = describe(spark, source)
     spark.sql(f"ALTER TABLE {source} RENAME TO {target}")
-    if managed and partition_columns(spark, target):
+    if info.get("type") == "MANAGED" and info.get("partition_columns"):
         # A catalog may keep the old partition paths, and the table then reads as empty.
         spark.sql(f"MSCK REPAIR TABLE {target}")
