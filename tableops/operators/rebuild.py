@@ -6,9 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tableops.operators.swap import swap_tables
-from tableops.sources.catalog import TableName, create_like, require_table, table_name
-
-STAGE_SUFFIX = "___new"
+from tableops.sources.catalog import NEW_SUFFIX, TableName, create_like, require_table, table_name
 
 
 def rebuild_table(
@@ -31,7 +29,7 @@ def rebuild_table(
     """
     target = table_name(spark, name)
     info = require_table(spark, target)
-    stage = target.with_suffix(STAGE_SUFFIX)
+    stage = target.with_suffix(NEW_SUFFIX)
     by = info.get("partition_columns") or []
     failures = 0
     while True:

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from tableops.sources.catalog import drop_table, rename_table, table_exists, table_name
-
-# Fixed value: suffix of the backup a swap or a rebuild leaves.
-BACKUP_SUFFIX = "___old"
+from tableops.sources.catalog import (
+    BACKUP_SUFFIX,
+    drop_table,
+    refuse_pending,
+    rename_table,
+    table_exists,
+    table_name,
+)
 
 
 def swap_tables(
@@ -20,7 +24,9 @@ def swap_tables(
     """Rename ``new_table`` to ``old_table``; the old one is dropped or kept as ``___old``.
 
     A backup from an earlier swap is dropped first. The swap is two renames and so not
-    atomic: between them the name is missing. If the second fails the first is undone.
+    atomic: between them the name is missing. If the second fails the first is undone. If
+    the process is lost between them, ``ignore_if_not_exists`` completes the swap; the
+    backup then stays at least until the new table is in place.
     """
     new, old = table_name(spark, new_table), table_name(spark, old_table)
     if new == old:
@@ -30,9 +36,10 @@ def swap_tables(
     had_old = table_exists(spark, old)
     if not had_old and not ignore_if_not_exists:
         raise ValueError(f"Table {old} does not exist")
+    refuse_pending(spark, old)
     backup = old.with_suffix(BACKUP_SUFFIX)
-    drop_table(spark, backup)
     if had_old:
+        drop_table(spark, backup)
         rename_table(spark, old, backup)
     try:
         rename_table(spark, new, old)

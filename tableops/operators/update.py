@@ -12,7 +12,8 @@ from tableops.functions.names import quoted
 from tableops.operators.counted import counted_write, dynamic_overwrite
 from tableops.operators.swap import swap_tables
 from tableops.sources.catalog import (
-    TableName,
+    PATCH_SUFFIX,
+    UPDATED_SUFFIX,
     carry_description,
     create_like,
     drop_table,
@@ -23,8 +24,6 @@ from tableops.sources.catalog import (
     table_name,
 )
 
-STAGE_SUFFIX = "___updated"
-PATCH_SUFFIX = "___patch"
 _HIT = "___hit"
 
 
@@ -43,8 +42,8 @@ def update_table(
     ``retype`` (only without ``where``) takes the expression's type instead.
 
     The table is read once, in one job without a shuffle, into a table beside it, which
-    is then swapped in. ``only_partitions`` is a predicate over partition columns alone:
-    other partitions are then neither read nor written nor updated.
+    is then swapped in. ``only_partitions`` is a deterministic predicate over partition
+    columns alone: other partitions are then neither read nor written nor updated.
     """
     target = table_name(spark, name)
     info = require_table(spark, target)
@@ -53,7 +52,6 @@ def update_table(
     changes = _checked_sets(table.schema, sets)
     if retype and where is not None:
         raise ValueError("retype changes every row, so it takes no predicate")
-    _refuse_pending(spark, target)
 
     hit = F.lit(True) if where is None else F.coalesce(F.expr(where), F.lit(False))
     moves_rows = any(c in changes for c in parts)
@@ -70,7 +68,7 @@ def update_table(
     updated = _updated(table, changes, hit, retype)
     if moves_rows:
         updated = updated.hint("rebalance", *parts)
-    stage = target.with_suffix(STAGE_SUFFIX)
+    stage = target.with_suffix(UPDATED_SUFFIX)
     drop_table(spark, stage)
     if not retype:
         create_like(spark, stage, target, info)
@@ -131,15 +129,6 @@ def _checked_sets(schema: StructType, sets: Mapping[str, str]) -> dict[str, str]
     return changes
 
 
-def _refuse_pending(spark: SparkSession, target: TableName) -> None:
-    patch = target.with_suffix(PATCH_SUFFIX)
-    if table_exists(spark, patch):
-        raise ValueError(
-            f"An earlier update of {target} was interrupted with its rows in {patch}: "
-            "call finish_update first"
-        )
-
-
 def _updated(
     table: DataFrame, changes: Mapping[str, str], hit: Column, retype: bool
 ) -> DataFrame:

@@ -16,6 +16,7 @@ from tableops.functions.types import struct_from, struct_of
 from tableops.operators.counted import counted_write
 from tableops.operators.swap import swap_tables
 from tableops.sources.catalog import (
+    NEW_SUFFIX,
     TableName,
     create_like,
     drop_table,
@@ -27,7 +28,6 @@ from tableops.sources.catalog import (
 from tableops.sources.frames import as_frame, is_frame
 
 MODES = ("fail", "append", "replace")
-STAGE_SUFFIX = "___new"
 
 
 def save_table(
@@ -101,7 +101,7 @@ def save_table(
         return _create(df, target, partition_by, rebalance)
 
     info = require_table(spark, target)
-    stage = target.with_suffix(STAGE_SUFFIX)
+    stage = target.with_suffix(NEW_SUFFIX)
     if keeps:
         create_like(spark, stage, target, info)
         df = _spread(df, info.get("partition_columns") or [], rebalance)

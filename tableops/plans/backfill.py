@@ -7,6 +7,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType
 
 from tableops.functions.names import quoted
 from tableops.operators.counted import counted_write, dynamic_overwrite
@@ -68,7 +69,7 @@ def backfill_range(
     ``query`` yields the columns of ``into``, the day last, for the whole range, which is
     bound to ``:start_time`` and ``:stop_time``. Days of the range without rows end empty,
     other days are untouched, and a row outside the range fails the job. The table is
-    partitioned by the day column alone.
+    partitioned by the day column alone, a date or its ISO text.
     """
     days = _days(start, stop)
     if not days:
@@ -77,11 +78,14 @@ def backfill_range(
     if (require_table(spark, target).get("partition_columns") or []) != [day_col]:
         raise ValueError(f"{target} must be partitioned by {day_col} alone")
     schema = spark.table(str(target)).schema
+    if not isinstance(schema[day_col].dataType, (DateType, StringType)):
+        raise ValueError(f"{day_col} must be a date or its text: {schema[day_col].dataType}")
 
     bounds = {"start_time": days[0], "stop_time": days[-1] + _DAY}
     rows = run_sql(spark, query, bounds, schema=schema)
     day = F.col(quoted(day_col))
-    inside = (day >= F.lit(bounds["start_time"])) & (day < F.lit(bounds["stop_time"]))
+    date = day.cast("date")
+    inside = (date >= F.lit(bounds["start_time"])) & (date < F.lit(bounds["stop_time"]))
     stray = F.concat(F.lit("Day outside the range: "), F.coalesce(day.cast("string"), F.lit("NULL")))
     checked = F.when(inside, day).otherwise(F.raise_error(stray)).alias(day_col)
     rows = rows.select(*map(quoted, schema.names[:-1]), checked).hint("rebalance", day_col)
@@ -89,7 +93,7 @@ def backfill_range(
         seen = counted_write(
             rows,
             lambda out: out.write.insertInto(str(target), overwrite=True),
-            {"days": F.collect_set(day)},
+            {"days": F.collect_set(date)},
         )
     spark.catalog.refreshTable(str(target))
     _empty_days(spark, str(target), day_col, sorted(set(days) - set(seen["days"])))
@@ -131,6 +135,8 @@ def daily_slices(
 
 
 def _date(day: dt.date | str) -> dt.date:
+    if isinstance(day, dt.datetime):
+        raise ValueError(f"Expected a day, got a time: {day}")
     return dt.date.fromisoformat(day) if isinstance(day, str) else day
 
 

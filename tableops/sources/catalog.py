@@ -17,6 +17,14 @@ _PART = re.compile(r"`((?:[^`]|``)+)`|([^.`]+)")
 _STAGE_SUFFIX = re.compile(r"___[0-9a-f]{32}$")
 _REDACTED = "*********(redacted)"
 
+# Suffixes of the tables that operators put beside a table: the backup of a
+# swap or rebuild, the stage of a rebuild or replace, the stage of an update, and the
+# finished partitions of an update.
+BACKUP_SUFFIX = "___old"
+NEW_SUFFIX = "___new"
+UPDATED_SUFFIX = "___updated"
+PATCH_SUFFIX = "___patch"
+
 
 @dataclass(frozen=True)
 class TableName:
@@ -66,15 +74,28 @@ def table_schema(spark: SparkSession, name: str) -> DataFrame | None:
 
 
 def require_table(spark: SparkSession, name: TableName) -> dict[str, Any]:
-    """Describe a table that is about to be rewritten; a view or a missing table is an error."""
+    """Describe a table that is about to be changed; a view or a missing table is an error."""
     if not table_exists(spark, name):
-        raise ValueError(f"Table {name} does not exist")
+        backup = name.with_suffix(BACKUP_SUFFIX)
+        hint = f", but {backup} does: was a swap interrupted?" if table_exists(spark, backup) else ""
+        raise ValueError(f"Table {name} does not exist{hint}")
+    refuse_pending(spark, name)
     info = describe(spark, name)
     if info.get("type") == "VIEW":
         raise ValueError(f"{name} is a view")
     return info
 
 
+def refuse_pending(spark: SparkSession, name: TableName) -> None:
+    """Finishing an update overwrites partitions, so nothing may change them before."""
+    patch = name.with_suffix(PATCH_SUFFIX)
+    if table_exists(spark, patch):
+        raise ValueError(
+            f"An update of {name} was interrupted with its rows in {patch}: "
+            "call finish_update first"
+        )
+
+
 def stage_location(info: dict[str, Any]) -> str | None:
     """A new location beside an external table's own, or None for a managed table."""
     if info.get("type") != "EXTERNAL":

@@ -245,6 +245,46 @@ def test_range_refuses_rows_outside_it(spark, db, source):
         backfill_range(spark, RANGE_SQL.format(db=db), day(9), day(12), f"{db}.flat")
 
 
+def test_range_with_days_as_text(spark, db, source):
+    spark.sql(f"CREATE TABLE {db}.text (kind STRING, n BIGINT, day STRING) USING parquet PARTITIONED BY (day)")
+    spark.sql(f"INSERT INTO {db}.text VALUES ('stale', 9, '2019-05-10'), ('kept', 9, '2019-05-20')")
+    for _ in range(2):
+        assert backfill_range(spark, RANGE_SQL.format(db=db), day(9), day(12), f"{db}.text") == 3
+        expected = [(k, n, str(d)) for k, n, d in FULL]
+        assert rows(spark, f"{db}.text") == sorted([*expected, ("kept", 9, "2019-05-20")], key=repr)
+    assert backfill_daily(spark, DAY_SQL.format(db=db), day(9), day(12), into=f"{db}.text")["succeeded"]
+    assert rows(spark, f"{db}.text") == sorted([*expected, ("kept", 9, "2019-05-20")], key=repr)
+    spark.sql(f"CREATE TABLE {db}.number (kind STRING, n BIGINT, day INT) USING parquet PARTITIONED BY (day)")
+    with pytest.raises(ValueError, match="date or its text"):
+        backfill_range(spark, RANGE_SQL.format(db=db), day(9), day(12), f"{db}.number")
+
+
+def test_times_are_no_days(spark, db, source):
+    with pytest.raises(ValueError, match="got a time"):
+        backfill_daily(spark, "SELECT 1", dt.datetime(2019, 5, 9, 12), day(12))
+
+
+def test_template_with_settings_and_commands(spark, db, source):
+    template = f"""
+        SET spark.sql.tableops_test = '$START_TIME';
+        USE {db};
+        CREATE OR REPLACE TEMPORARY VIEW one AS SELECT 1 AS x;
+        CACHE TABLE one;
+        UNCACHE TABLE one;
+        ALTER TABLE out DROP IF EXISTS PARTITION (day = DATE'$START_TIME');
+        INSERT INTO out SELECT kind, count(*), :start_time FROM src
+        WHERE ts >= :start_time AND ts < :stop_time GROUP BY kind;
+        ANALYZE TABLE out COMPUTE STATISTICS NOSCAN
+    """
+    try:
+        result = backfill_daily(spark, template, day(9), day(12))
+    finally:
+        spark.sql("USE default")
+        spark.catalog.dropTempView("one")
+    assert result == {"succeeded": True, "days": [day(9), day(10), day(11)]}
+    assert rows(spark, f"{db}.out") == FULL
+
+
 def test_slices_equal_the_backfill(spark, db, source):
     sliced = daily_slices(
         spark.table(f"{db}.src"), "ts", day(8), day(13),

@@ -242,8 +242,16 @@ def test_interrupted_partition_update_can_be_finished(spark, db, monkeypatch):
         with pytest.raises(RuntimeError, match="driver lost"):
             update_table(spark, f"{db}.t", {"value": "value + 1000"}, only_partitions=scope)
     assert spark.table(f"{db}.t").where("value >= 1000").count() == 0
-    with pytest.raises(ValueError, match="finish_update"):
-        update_table(spark, f"{db}.t", {"value": "0"})
+    save_table(spark, spark.table(f"{db}.t"), f"{db}.other", partition_by=["day"])
+    for change in (
+        lambda: update_table(spark, f"{db}.t", {"value": "0"}),
+        lambda: save_table(spark, spark.table(f"{db}.other"), f"{db}.t", if_exists="append"),
+        lambda: save_table(spark, spark.table(f"{db}.other"), f"{db}.t", if_exists="replace"),
+        lambda: rebuild_table(spark, f"{db}.t"),
+        lambda: swap_tables(spark, f"{db}.other", f"{db}.t"),
+    ):
+        with pytest.raises(ValueError, match="finish_update"):
+            change()
     assert finish_update(spark, f"{db}.t") is True
     assert finish_update(spark, f"{db}.t") is False
     assert spark.table(f"{db}.t").where("value >= 1000").count() == 200
@@ -339,6 +347,21 @@ def test_swap_failing_midway_is_undone(spark, db, monkeypatch):
     assert spark.table(f"{db}.old").count() == 300
 
 
+def test_swap_lost_between_the_renames(spark, db, monkeypatch):
+    save_table(spark, spark.range(3), f"{db}.old")
+    save_table(spark, spark.range(2), f"{db}.new")
+    rename_table(spark, table_name(spark, f"{db}.old"), table_name(spark, f"{db}.old___old"))
+    with pytest.raises(ValueError, match="was a swap interrupted"):
+        update_table(spark, f"{db}.old", {"id": "0"})
+    with monkeypatch.context() as patch:
+        patch.setattr(swap, "rename_table", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            swap_tables(spark, f"{db}.new", f"{db}.old", ignore_if_not_exists=True)
+    assert tables(spark, db) == ["new", "old___old"]
+    swap_tables(spark, f"{db}.new", f"{db}.old", ignore_if_not_exists=True)
+    assert tables(spark, db) == ["old"] and spark.table(f"{db}.old").count() == 2
+
+
 # --- rebuild -----------------------------------------------------------------------
 
 
