@@ -176,8 +176,8 @@ def sql_format_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(
         spark,
         """SELECT p_brand, count(*) AS n FROM part
-           WHERE p_size >= %s AND p_name LIKE concat('%%', %s, '%%') GROUP BY p_brand""",
-        [10, "e"],
+           WHERE p_size >= %s AND p_name LIKE '%%e%%' AND p_brand NOT IN %s GROUP BY p_brand""",
+        [10, ["Brand#1", "Brand#2"]],
         format_slots=True,
     )
 
@@ -349,8 +349,13 @@ def replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     load(spark, sf_dir, "part")
     table = f"{scratch(spark)}.parts"
     save_table(spark, run_sql(spark, "SELECT p_partkey, p_brand, p_size FROM part"), table)
-    fresh = f"SELECT p_partkey + 100, upper(p_brand), CAST(p_size AS STRING) FROM {table} WHERE p_size > 1"
-    save_table(spark, run_sql(spark, fresh, schema=["a", "b", "c"]), table, if_exists="replace")
+    fresh = run_sql(
+        spark,
+        f"""SELECT p_partkey + 100, upper(p_brand), CAST(p_size AS STRING)
+            FROM {table} WHERE p_size > 1""",
+        schema=["a", "b", "c"],
+    )
+    save_table(spark, fresh, table, if_exists="replace")
     return spark.table(table)
 
 
@@ -651,7 +656,8 @@ def oracle_sql() -> dict[str, str]:
             WHERE c_acctbal > 100.0 AND c_mktsegment <> 'BUILDING' GROUP BY c_mktsegment""",
         "sql_format_slots": """
             SELECT p_brand, count(*) AS n FROM part
-            WHERE p_size >= 10 AND p_name LIKE '%e%' GROUP BY p_brand""",
+            WHERE p_size >= 10 AND p_name LIKE '%e%' AND p_brand NOT IN ('Brand#1', 'Brand#2')
+            GROUP BY p_brand""",
         "row_limit": """
             SELECT o_orderkey, o_totalprice FROM orders
             ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""",

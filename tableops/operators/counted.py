@@ -1,4 +1,4 @@
-"""Write and count in one job."""
+"""What the writing operators share: counting, spreading, overwriting by partition."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tableops.functions.names import quoted
+
 
 def counted_write(
     df: DataFrame,
@@ -28,6 +30,12 @@ def counted_write(
     return observation.get
 
 
+def rebalanced(df: DataFrame, by: list[str], width: int | None = None) -> DataFrame:
+    """Bring together the rows that agree in ``by``; adaptive execution evens out the sizes."""
+    columns = [F.col(quoted(c)) for c in by]
+    return df.hint("rebalance", *([] if width is None else [width]), *columns)
+
+
 @contextmanager
 def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """Within the block an overwrite replaces only the partitions it has rows for.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from tableops.operators.counted import rebalanced
 from tableops.operators.swap import swap_tables
 from tableops.sources.catalog import NEW_SUFFIX, TableName, create_like, require_table, table_name
 
@@ -51,7 +52,6 @@ def _laid_out(
     spark: SparkSession, target: TableName, by: list[str], partitions: int | None
 ) -> DataFrame:
     table = spark.table(str(target))
-    if by:
-        width = () if partitions is None else (partitions,)
-        return table.hint("rebalance", *width, *by)
-    return table.hint("rebalance") if partitions is None else table.repartition(partitions)
+    if partitions is not None and not by:
+        return table.repartition(partitions)
+    return rebalanced(table, by, partitions)

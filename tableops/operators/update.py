@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tableops.functions.names import quoted
-from tableops.operators.counted import counted_write, dynamic_overwrite
+from tableops.operators.counted import counted_write, dynamic_overwrite, rebalanced
 from tableops.operators.swap import swap_tables
 from tableops.sources.catalog import (
     PATCH_SUFFIX,
@@ -67,7 +67,7 @@ def update_table(
 
     updated = _updated(table, changes, hit, retype)
     if moves_rows:
-        updated = updated.hint("rebalance", *parts)
+        updated = rebalanced(updated, parts)
     stage = target.with_suffix(UPDATED_SUFFIX)
     drop_table(spark, stage)
     if not retype:

@@ -13,7 +13,7 @@ from pyspark.sql.types import DataType, StructType
 from tableops.functions.columns import NULL_TOKENS, null_token_column
 from tableops.functions.names import quoted
 from tableops.functions.types import struct_from, struct_of
-from tableops.operators.counted import counted_write
+from tableops.operators.counted import counted_write, rebalanced
 from tableops.operators.swap import swap_tables
 from tableops.sources.catalog import (
     NEW_SUFFIX,
@@ -84,7 +84,9 @@ def save_table(
     row_schema = None
     if wanted is not None:
         row_schema = StructType([f for f in wanted if f.name.lower() not in expressions])
-    many = not is_frame(data) and len(data) > 0 and all(map(is_frame, data))
+    if not is_frame(data):
+        data = list(data)
+    many = not is_frame(data) and data and all(map(is_frame, data))
     parts = data if many else [data]
     frames = [
         _shaped(as_frame(spark, part, row_schema), wanted, match, expressions, tokens)
@@ -159,7 +161,9 @@ def _shaped(
         if f.name.lower() not in computed
     }
     if wanted is None:
-        kept = [computed[n].alias(c) if n in computed else plain[n] for n, c in zip(names, df.columns)]
+        kept = [
+            computed[n].alias(c) if n in computed else plain[n] for n, c in zip(names, df.columns)
+        ]
         added = [c.alias(n) for n, c in computed.items() if n not in names]
         return df.select(*kept, *added)
 
@@ -192,7 +196,7 @@ def _fitted(spark: SparkSession, df: DataFrame, target: TableName) -> DataFrame:
 
 
 def _spread(df: DataFrame, partition_by: list[str], rebalance: bool) -> DataFrame:
-    return df.hint("rebalance", *partition_by) if partition_by and rebalance else df
+    return rebalanced(df, partition_by) if partition_by and rebalance else df
 
 
 def _create(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType
 
 from tableops.functions.names import quoted
-from tableops.operators.counted import counted_write, dynamic_overwrite
+from tableops.operators.counted import counted_write, dynamic_overwrite, rebalanced
 from tableops.plans.script import run_script
 from tableops.sources.catalog import require_table, table_name
 from tableops.sources.query import run_sql
@@ -41,6 +41,8 @@ def backfill_daily(
     'failed_day': .., 'error': .., 'sqls': ..}``.
     """
     target = None if into is None else table_name(spark, into)
+    if target is not None:
+        require_table(spark, target)
     done: list[dt.date] = []
     for day in _days(start, stop):
         filled = template.replace(START_TEXT, day.isoformat())
@@ -86,9 +88,10 @@ def backfill_range(
     day = F.col(quoted(day_col))
     date = day.cast("date")
     inside = (date >= F.lit(bounds["start_time"])) & (date < F.lit(bounds["stop_time"]))
-    stray = F.concat(F.lit("Day outside the range: "), F.coalesce(day.cast("string"), F.lit("NULL")))
-    checked = F.when(inside, day).otherwise(F.raise_error(stray)).alias(day_col)
-    rows = rows.select(*map(quoted, schema.names[:-1]), checked).hint("rebalance", day_col)
+    stray = F.coalesce(day.cast("string"), F.lit("NULL"))
+    refused = F.raise_error(F.concat(F.lit("Day outside the range: "), stray))
+    checked = F.when(inside, day).otherwise(refused).alias(day_col)
+    rows = rebalanced(rows.select(*map(quoted, schema.names[:-1]), checked), [day_col])
     with dynamic_overwrite(spark):
         seen = counted_write(
             rows,

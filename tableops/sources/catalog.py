@@ -77,7 +77,8 @@ def require_table(spark: SparkSession, name: TableName) -> dict[str, Any]:
     """Describe a table that is about to be changed; a view or a missing table is an error."""
     if not table_exists(spark, name):
         backup = name.with_suffix(BACKUP_SUFFIX)
-        hint = f", but {backup} does: was a swap interrupted?" if table_exists(spark, backup) else ""
+        lost = table_exists(spark, backup)
+        hint = f", but {backup} does: was a swap interrupted?" if lost else ""
         raise ValueError(f"Table {name} does not exist{hint}")
     refuse_pending(spark, name)
     info = describe(spark, name)

@@ -26,7 +26,8 @@ def run_sql(
 
     ``args`` fills ``?`` markers from a sequence or ``:name`` markers from a mapping.
     With ``format_slots`` the markers in the text are ``%s`` or ``%(name)s`` instead (and
-    a literal percent sign is ``%%``). The values are bound by Spark, never pasted as text.
+    a literal percent sign is ``%%``), and a list fills its slot as a list in brackets, as
+    for ``IN``. The values are bound by Spark, never pasted as text.
 
     ``limit=None`` returns all rows. ``partitions`` shuffles the result into that many
     tasks; leave it out to let adaptive execution choose.
@@ -34,8 +35,8 @@ def run_sql(
     if limit is not None and limit < 0:
         raise ValueError(f"limit must not be negative: {limit}")
     if format_slots and args is not None:
-        named = isinstance(args, Mapping)
-        sql %= {name: f":{name}" for name in args} if named else ("?",) * len(args)
+        slots, args = _named_slots(args)
+        sql %= slots
     df = spark.sql(sql, args=args if args is None or isinstance(args, Mapping) else list(args))
     if limit is not None:
         df = df.limit(limit)
@@ -44,6 +45,24 @@ def run_sql(
     return df if schema is None else apply_schema(df, schema)
 
 
+def _named_slots(
+    args: Sequence[Any] | Mapping[str, Any],
+) -> tuple[tuple[str, ...] | dict[str, str], dict[str, Any]]:
+    """The marker text for each slot, and the values by marker name."""
+    named = isinstance(args, Mapping)
+    texts: dict[Any, str] = {}
+    values: dict[str, Any] = {}
+    for key, value in args.items() if named else enumerate(args):
+        is_list = isinstance(value, (list, tuple))
+        markers = []
+        for item in value if is_list else [value]:
+            name = f"slot{len(values)}"
+            values[name] = item
+            markers.append(f":{name}")
+        texts[key] = f"({', '.join(markers)})" if is_list else markers[0]
+    return (texts if named else tuple(texts.values())), values
+
+
 def run_sql_pandas(
     spark: SparkSession,
     sql: str,

@@ -29,6 +29,10 @@ def test_params_as_format_slots(spark, items):
     assert ids(run_sql(spark, sql, ("cars", "sport"), format_slots=True)) == [1]
     named = "SELECT id FROM items WHERE name = %(n)s AND name LIKE '%%5%%'"
     assert ids(run_sql(spark, named, {"n": "it's 5%"}, format_slots=True)) == [3]
+    among = "SELECT id FROM items WHERE name IN %s AND category = %s"
+    assert ids(run_sql(spark, among, (["cars", "it's 5%"], "sport"), format_slots=True)) == [1, 3]
+    among = "SELECT id FROM items WHERE id IN %(i)s AND id NOT IN %(j)s"
+    assert ids(run_sql(spark, among, {"i": (1, 2), "j": [2]}, format_slots=True)) == [1]
     # Without arguments the text is taken as it is.
     assert ids(run_sql(spark, "SELECT id FROM items WHERE name LIKE '%5%'", format_slots=True)) == [3]
 

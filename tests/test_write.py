@@ -5,7 +5,14 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tableops import bulk_insert, create_from_data, save_table, table_schema
+from tableops import (
+    bulk_insert,
+    create_from_data,
+    rebuild_table,
+    save_table,
+    table_schema,
+    update_table,
+)
 from tableops.operators import write
 from tests.plans import executed_plan
 
@@ -265,6 +272,11 @@ def test_names(spark, db):
     save_table(spark, odd, f"{db}.cols", if_exists="append")
     save_table(spark, odd, f"{db}.cols", if_exists="append", match="name")
     assert spark.table(f"{db}.cols").count() == 3
+    save_table(spark, odd, f"{db}.odd_parts", partition_by=["c.d", "a b"])
+    save_table(spark, odd, f"{db}.odd_parts", if_exists="append", match="name")
+    update_table(spark, f"{db}.odd_parts", {"c.d": "`a b` * 10"}, "`e``f` IS NULL")
+    rebuild_table(spark, f"{db}.odd_parts")
+    assert rows(spark, f"{db}.odd_parts") == [(None, 10, 1)] * 2
 
 
 def test_partitioned_write_makes_few_files(spark, db):
