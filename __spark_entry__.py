@@ -359,6 +359,22 @@ def replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+def replace_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    load(spark, sf_dir, "orders")
+    table = f"{scratch(spark)}.orders"
+    save_table(spark, run_sql(spark, "SELECT o_orderkey, o_orderstatus FROM orders"), table)
+    fresh = run_sql(spark, "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+    save_table(
+        spark,
+        fresh,
+        table,
+        if_exists="replace",
+        schema={"id": "varchar(20)", "price": "double", "status": "varchar"},
+        partition_by=["status"],
+    )
+    return spark.table(table)
+
+
 def create_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     load(spark, sf_dir, "orders")
     table = f"{scratch(spark)}.parts"
@@ -392,6 +408,16 @@ def table_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_schema(spark, table).join(filled_counts(spark.table(table)), "col_name")
 
 
+def rename_and_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (orders,) = load(spark, sf_dir, "orders")
+    database = scratch(spark)
+    save_table(spark, orders, f"{database}.first")
+    run_sql(spark, f"CREATE TABLE {database}.second AS SELECT * FROM {database}.first")
+    run_sql(spark, f"DROP TABLE {database}.first")
+    run_sql(spark, f"ALTER TABLE {database}.second RENAME TO {database}.first")
+    return run_sql(spark, f"SELECT * FROM {database}.first")
+
+
 def update_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     (customer,) = load(spark, sf_dir, "customer")
     table = f"{scratch(spark)}.customers"
@@ -507,6 +533,30 @@ def script_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.segments")
 
 
+def script_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A script whose second statement fails, taken up again once the cause is gone."""
+    load(spark, sf_dir, "orders", "customer")
+    database = scratch(spark)
+    broken = run_script(
+        spark,
+        [
+            f"CREATE TABLE {database}.spent AS "
+            "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey",
+            f"CREATE TABLE {database}.named AS SELECT c_name, n FROM {database}.spent "
+            f"JOIN {database}.people ON o_custkey = c_custkey",
+            f"DROP TABLE {database}.spent",
+        ],
+    )
+    if broken["succeeded"] or len(broken["sqls"]) != 2:
+        raise RuntimeError(f"Expected the second statement to fail: {broken}")
+    people = run_sql(spark, "SELECT c_custkey, c_name FROM customer")
+    save_table(spark, people, f"{database}.people")
+    resumed = run_script(spark, broken["sqls"])
+    if not resumed["succeeded"]:
+        raise RuntimeError(resumed["error"])
+    return spark.table(f"{database}.named")
+
+
 DAY_QUERY = """
     SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events
     WHERE ts >= :start_time AND ts < :stop_time GROUP BY event_type
@@ -585,9 +635,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "append_by_name": append_by_name,
         "bulk_insert": bulk_insert_query,
         "replace_table": replace_table,
+        "replace_structure": replace_structure,
         "create_from_parts": create_from_parts,
         "write_counts": write_counts,
         "table_metadata": table_metadata,
+        "rename_and_drop": rename_and_drop,
         "update_rows": update_rows,
         "update_null_predicate": update_null_predicate,
         "update_count": update_count,
@@ -599,6 +651,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rebuild_table": rebuild_table_query,
         "rebuild_partitioned": rebuild_partitioned,
         "script_pipeline": script_pipeline,
+        "script_resume": script_resume,
         "backfill_daily": backfill_daily_query,
         "backfill_range": backfill_range_query,
         "daily_slices": daily_slices_query,
@@ -697,6 +750,9 @@ def oracle_sql() -> dict[str, str]:
         "replace_table": """
             SELECT p_partkey + 100 AS p_partkey, upper(p_brand) AS p_brand, p_size
             FROM part WHERE p_size > 1""",
+        "replace_structure": """
+            SELECT CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS price,
+              o_orderstatus AS status FROM orders""",
         "create_from_parts": """
             SELECT o_custkey AS cust, o_orderstatus AS status FROM orders
             UNION ALL SELECT o_custkey, o_orderstatus FROM orders""",
@@ -704,6 +760,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(*) AS created, count(*) AS appended, count(*) AS replaced,
               count(*) AS held FROM orders""",
         "table_metadata": _columns_sql("events", [*EVENT_COLUMNS, ("day", "date", "ts")]),
+        "rename_and_drop": "SELECT * FROM orders",
         "update_rows": """
             SELECT c_custkey, c_name, c_nationkey,
               CASE WHEN c_acctbal < 0 THEN CAST(0 AS DOUBLE) ELSE c_acctbal END AS c_acctbal,
@@ -741,6 +798,9 @@ def oracle_sql() -> dict[str, str]:
         "script_pipeline": """
             SELECT c_mktsegment AS seg, count(*) AS n, 'a;b' AS mark FROM customer
             WHERE c_custkey IN (SELECT o_custkey FROM orders) GROUP BY c_mktsegment""",
+        "script_resume": """
+            SELECT c_name, (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) AS n
+            FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)""",
         "backfill_daily": by_day,
         "backfill_range": by_day,
         "daily_slices": """

@@ -182,11 +182,14 @@ def test_markers_in_a_partition_clause(spark, db, source):
     assert rows(spark, f"{db}.out") == FULL
 
 
-def test_rerun_gives_the_same_and_clears_empty_days(spark, db, source):
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_rerun_gives_the_same_and_clears_empty_days(spark, db, source, mode):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
     spark.sql(f"INSERT INTO {db}.out VALUES ('stale', 9, DATE'2019-05-10'), ('kept', 9, DATE'2019-05-20')")
     for _ in range(2):
         assert backfill_daily(spark, DAY_SQL.format(db=db) + " ;\n", day(9), day(12), into=f"{db}.out")["succeeded"]
         assert rows(spark, f"{db}.out") == sorted([*FULL, ("kept", 9, day(20))], key=repr)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
 
 
 def test_query_with_a_common_table_expression(spark, db, source):
