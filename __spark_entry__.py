@@ -84,7 +84,8 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     load(spark, sf_dir, "documents", "labels")
     return run_sql(
         spark,
-        "SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id",
+        """SELECT d.doc_id, CAST(l.quality AS DOUBLE) AS quality
+           FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     )
 
 
@@ -766,7 +767,7 @@ def oracle_sql() -> dict[str, str]:
               CASE WHEN c_acctbal < 0 THEN CAST(0 AS DOUBLE) ELSE c_acctbal END AS c_acctbal,
               c_mktsegment FROM customer""",
         "update_null_predicate": """
-            SELECT d.doc_id, CAST(CASE WHEN l.quality = 1 THEN 9 ELSE l.quality END AS INTEGER)
+            SELECT d.doc_id, CAST(CASE WHEN l.quality = 1 THEN 9 ELSE l.quality END AS DOUBLE)
               AS quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
         "update_count": """
             SELECT count(*) FILTER (WHERE quality = 1) AS updated, count(*) AS total
