@@ -41,8 +41,9 @@ def update_table(
     which the predicate is NULL stays as it is. Values are cast to the column's type;
     ``retype`` (only without ``where``) takes the expression's type instead.
 
-    The table is read once, in one job without a shuffle, into a table beside it, which
-    is then swapped in. ``only_partitions`` is a deterministic predicate over partition
+    The table is read once, in one job, into a table beside it, which is then swapped in.
+    There is no shuffle, unless a partition column is set, so that rows change partition,
+    or Spark joins a subquery of the predicate. ``only_partitions`` is a deterministic predicate over partition
     columns alone: other partitions are then neither read nor written nor updated.
     """
     target = table_name(spark, name)
