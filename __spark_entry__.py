@@ -608,9 +608,25 @@ def daily_slices_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def text_queries() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries of the optional subpackage for training text and their SQL; none where it is absent."""
+    try:
+        import corpus_pipeline
+        from tableops.llm.queries import ORACLE_SQL, QUERIES
+    except ModuleNotFoundError as error:
+        if error.name not in ("corpus_pipeline", "tableops.llm", "tableops.llm.queries"):
+            raise
+        return {}, {}
+    sql = dict(ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to a callable over (session, folder of the tables)."""
     return {
+        **text_queries()[0],
         "sql_filter_agg": sql_filter_agg,
         "sql_join": sql_join,
         "sql_anti_join": sql_anti_join,
@@ -685,6 +701,7 @@ def oracle_sql() -> dict[str, str]:
     parties = """SELECT c_custkey AS id, c_name AS name FROM customer
                  UNION ALL SELECT s_suppkey, s_name FROM supplier"""
     return {
+        **text_queries()[1],
         "sql_filter_agg": """
             SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_quantity), 2) AS qty
             FROM lineitem WHERE l_discount < 0.05 GROUP BY l_returnflag, l_linestatus""",
