@@ -8,13 +8,16 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .byte_bpe import ByteBpe
 from .chat_format import format_conversations, read_back
 from .exact_dedup import exact_groups
 from .mixing import mix, word_count
-from .shared import shared_folder, table
+from .shared import shared_folder, table, written
+from .simhash import simhash_groups
 from .token_counts import TokenRollup
 
 # --- 1: token counts -----------------------------------------------------------------
@@ -47,8 +50,6 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = docs.select(
         "doc_id", "source", "lang", counts(text, "old"), counts(revised, "new")
     )
-    from .shared import written
-
     counted = written(counted, "counts")
     first = counted.select("source", "lang", F.inline("old")).select(
         F.lit("insert").alias("op"), "source", "lang", F.col("v").alias("tokenizer"),
@@ -205,6 +206,34 @@ OP3_SQL = r"""
     FROM sized s JOIN budgets b ON s.source IS NOT DISTINCT FROM b.source"""
 
 
+# --- 5: byte-level BPE ---------------------------------------------------------------
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """Over documents: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    bpe = ByteBpe(
+        docs.sparkSession, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+    coded = docs.select("doc_id", bpe.encoded(F.col("text")).alias("ids"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(bpe.decoded(F.col("ids")), 256).alias("decoded_sha256"),
+    )
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents"))
+
+
+# --- 7: SimHash near-dedup -----------------------------------------------------------
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"))
+
+
 # --- 8: exact dedup ------------------------------------------------------------------
 
 
@@ -226,6 +255,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
     "op3_mixing": op3_mixing,
+    "op5_byte_bpe": op5_byte_bpe,
+    "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
