@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .byte_bpe import ByteBpe
 from .chat_format import format_conversations, read_back
+from .embedding_dedup import embedding_groups
 from .exact_dedup import exact_groups
 from .mixing import mix, word_count
 from .shared import shared_folder, table, written
@@ -251,6 +252,32 @@ OP8_SQL = """
     FROM lowered"""
 
 
+# --- 10: embedding near-dedup --------------------------------------------------------
+
+
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
+OP10_SQL = """
+    WITH RECURSIVE usable AS (
+      SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        AND len([x FOR x IN embedding IF x <> 0]) > 0),
+    links AS MATERIALIZED (
+      SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+      ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+        AND list_cosine_similarity(a.v, b.v) >= 0.93),
+    reached(start, node) AS (
+      SELECT vec_id, vec_id FROM embeddings
+      UNION SELECT start, b FROM reached JOIN links ON node = a)
+    SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links,
+      r.component_id, e.vec_id = r.component_id AS kept
+    FROM embeddings e JOIN (SELECT start, min(node) AS component_id FROM reached GROUP BY start) r
+      ON r.start = e.vec_id"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
@@ -258,6 +285,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_byte_bpe": op5_byte_bpe,
     "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -265,4 +293,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_chat_format": OP2_SQL,
     "op3_mixing": OP3_SQL,
     "op8_exact_dedup": OP8_SQL,
+    "op10_embedding_dedup": OP10_SQL,
 }
