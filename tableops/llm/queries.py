@@ -17,9 +17,11 @@ from .chat_format import format_conversations, read_back
 from .embedding_dedup import embedding_groups
 from .exact_dedup import exact_groups
 from .mixing import mix, word_count
+from .pii import KINDS, personal_data
 from .shared import shared_folder, table, written
 from .simhash import simhash_groups
 from .token_counts import TokenRollup
+from .toxicity import THRESHOLD, held_out, toxicity
 
 # --- 1: token counts -----------------------------------------------------------------
 
@@ -228,6 +230,17 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
 
+# --- 6: toxicity ---------------------------------------------------------------------
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    score = toxicity(docs, table(spark, sf_dir, "labels"), F.col("text"))
+    return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score")).select(
+        "*", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 # --- 7: SimHash near-dedup -----------------------------------------------------------
 
 
@@ -252,6 +265,37 @@ OP8_SQL = """
     FROM lowered"""
 
 
+# --- 9: personal data ----------------------------------------------------------------
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+
+    def listed(spans: str):
+        return F.array_join(
+            F.transform(
+                spans,
+                lambda s: F.concat_ws(
+                    ":", s.getField("kind"), s.getField("start").cast("string"),
+                    s.getField("finish").cast("string"),
+                ),
+            ),
+            ",",
+        )
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s.getField("kind") == kind)).cast("long")
+
+    return docs.select("doc_id", personal_data(F.col("text")).alias("found")).select(
+        "doc_id", "found.*"
+    ).select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in KINDS],
+        F.sha2(listed("base"), 256).alias("base_sha256"),
+        listed("spans").alias("spans"),
+    )
+
+
 # --- 10: embedding near-dedup --------------------------------------------------------
 
 
@@ -283,8 +327,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_format": op2_chat_format,
     "op3_mixing": op3_mixing,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_pii": op9_pii,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
