@@ -16,6 +16,7 @@ from .byte_bpe import ByteBpe
 from .chat_format import format_conversations, read_back
 from .embedding_dedup import embedding_groups
 from .exact_dedup import exact_groups
+from .lm_scoring import cross_entropy_difference
 from .mixing import mix, word_count
 from .pii import KINDS, personal_data
 from .shared import shared_folder, table, written
@@ -209,6 +210,71 @@ OP3_SQL = r"""
     FROM sized s JOIN budgets b ON s.source IS NOT DISTINCT FROM b.source"""
 
 
+# --- 4: LM scoring -------------------------------------------------------------------
+
+
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents against the passages of `benchmark` as target."""
+    scored = cross_entropy_difference(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark").select("text")
+    )
+    return scored.select(
+        "doc_id", "n_tokens",
+        *[F.round(c, 6).alias(c) for c in ("target_loss", "background_loss", "score")],
+    )
+
+
+OP4_SQL = r"""
+    WITH texts AS (
+      SELECT row_number() OVER () AS text_no, doc_id, text, false AS target FROM documents
+      UNION ALL SELECT -row_number() OVER (), NULL, text, true FROM benchmark),
+    cut AS (
+      SELECT text_no, doc_id, target, list_filter(string_split_regex(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[ 	-
+]+'), lambda w: w <> '') AS words
+      FROM texts),
+    tokens AS (
+      SELECT text_no, doc_id, target, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM cut),
+    counted AS (
+      SELECT word, count(*) AS n, count(*) FILTER (NOT target) AS b, count(*) FILTER (target) AS t
+      FROM tokens GROUP BY word),
+    sizes AS (
+      SELECT n, sum(count(*)) OVER (ORDER BY n DESC) AS held FROM counted GROUP BY n),
+    vocabulary AS (
+      SELECT word, b, t FROM counted WHERE n > coalesce(
+        (SELECT max(n) FROM sizes WHERE held > 65534), 0)),
+    totals AS (
+      SELECT sum(b) AS b, sum(t) AS t, (SELECT count(*) + 1 FROM vocabulary) AS v FROM counted),
+    unigrams AS (
+      SELECT word, (b + 1) / CAST((SELECT b + v FROM totals) AS DOUBLE) AS b,
+        (t + 1) / CAST((SELECT t + v FROM totals) AS DOUBLE) AS t
+      FROM (SELECT * FROM vocabulary UNION ALL
+            SELECT '<unknown word>', totals.b - coalesce((SELECT sum(b) FROM vocabulary), 0),
+              totals.t - coalesce((SELECT sum(t) FROM vocabulary), 0) FROM totals)),
+    known AS (
+      SELECT text_no, doc_id, target, pos, coalesce(v.word, '<unknown word>') AS word
+      FROM tokens LEFT JOIN vocabulary v USING (word)),
+    pairs AS (
+      SELECT *, coalesce(lag(word) OVER (PARTITION BY text_no ORDER BY pos), '<start of text>') AS context
+      FROM known),
+    bigrams AS (
+      SELECT context, word, count(*) FILTER (NOT target) AS b, count(*) FILTER (target) AS t
+      FROM pairs GROUP BY context, word),
+    contexts AS (
+      SELECT context, sum(b) AS b, sum(t) AS t FROM bigrams GROUP BY context),
+    losses AS (
+      SELECT context, word, -ln((g.b + 100 * u.b) / (c.b + 100)) AS b,
+        -ln((g.t + 100 * u.t) / (c.t + 100)) AS t
+      FROM bigrams g JOIN contexts c USING (context) JOIN unigrams u USING (word)),
+    scored AS (
+      SELECT text_no, count(*) AS n, avg(b) AS b, avg(t) AS t
+      FROM pairs JOIN losses USING (context, word) WHERE NOT target GROUP BY text_no)
+    SELECT doc_id, coalesce(n, 0) AS n_tokens, round(coalesce(t, 0), 6) AS target_loss,
+      round(coalesce(b, 0), 6) AS background_loss, round(coalesce(t - b, 0), 6) AS score
+    FROM cut LEFT JOIN scored USING (text_no) WHERE NOT target"""
+
+
 # --- 5: byte-level BPE ---------------------------------------------------------------
 
 
@@ -326,6 +392,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
     "op3_mixing": op3_mixing,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
@@ -338,6 +405,7 @@ ORACLE_SQL: dict[str, str] = {
     "op1_token_counts": _op1_sql(),
     "op2_chat_format": OP2_SQL,
     "op3_mixing": OP3_SQL,
+    "op4_lm_scoring": OP4_SQL,
     "op8_exact_dedup": OP8_SQL,
     "op10_embedding_dedup": OP10_SQL,
 }

@@ -36,6 +36,8 @@ INPUT, STATE, ATTENTION = 16, 12, 8
 TRIGRAMS, LEAST = 4096, 4
 #: Bound on the labelled documents that training reads, of each label, and windows of one.
 SAMPLE, SAMPLE_WINDOWS = 1500, 60
+#: Weight decay, and share of tokens left out of a training window.
+DECAY, DROPOUT = 1e-3, 0.2
 #: A document is toxic from this score on.
 THRESHOLD = 0.3
 #: Words whose projections a task remembers; windows computed at once.
@@ -227,7 +229,7 @@ class Adam:
         norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
         clip = min(1.0, 1.0 / (norm + 1e-9))
         for k, x in g.items():
-            x = x * clip + 1e-5 * self.p[k]
+            x = x * clip + DECAY * self.p[k]
             self.m[k] += 0.1 * (x - self.m[k])
             self.v[k] += 0.01 * (x * x - self.v[k])
             m, v = self.m[k] / (1 - 0.9**self.t), self.v[k] / (1 - 0.99**self.t)
@@ -389,7 +391,7 @@ def train(rows: list[tuple[int, str, int]], rounds: int = 4, batches: int = 60,
             pick = np.concatenate(
                 [rng.choice(pos, min(len(pos), 64)), rng.choice(neg, min(len(neg), 160))]
             )
-            ids = every[pick]
+            ids = np.where(rng.random((len(pick), WINDOW)) < DROPOUT, -1, every[pick])
             used, inverse = np.unique(ids, return_inverse=True)
             inverse = inverse.reshape(ids.shape)
             gone = int(used[0] < 0)
