@@ -1,0 +1,89 @@
+"""The pipeline's stages against plain versions of them, and the checks the queries carry."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import tiktoken
+
+import corpus_pipeline
+import public_tokenizers
+from tableops.llm import byte_bpe, queries, toxicity
+from tests.llm.test_operators import brute_fingerprint, filled, joined, lowered
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_stages(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").withColumn("row", docs_column())
+    rows = {r["doc_id"]: r for r in docs.collect()}
+    for n, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF_DIR).write.parquet(str(tmp_path / name))
+        after = spark.read.parquet(str(tmp_path / name))
+        if n < 4:
+            assert after.columns == docs.columns
+        ids = [r["doc_id"] for r in after.select("doc_id").collect()]
+        if name == "toxicity":
+            labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+            scorer = toxicity.Scorer(toxicity.train(toxicity.sample(docs, labels)))
+            keep = [i for i, r in rows.items() if scorer.score([r["text"]])[0] < toxicity.THRESHOLD]
+        elif name == "exact_dedup":
+            best = {}
+            for i in before:
+                best[lowered(rows[i]["text"])] = max(i, best.get(lowered(rows[i]["text"]), i))
+            keep = list(best.values())
+        elif name == "simhash_dedup":
+            fps = {i: brute_fingerprint(rows[i]["text"]) for i in before}
+            label = joined(sorted(before), lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 2)
+            keep = sorted(set(label.values()))
+        elif name == "mixing":
+            keep = mixed(rows, before)
+        else:
+            keep = before
+        assert Counter(ids) == Counter(keep), name
+        docs, before = after, ids
+    own = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, special_tokens={},
+        mergeable_ranks=byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")),
+    )
+    for r in docs.collect():
+        text = rows[r["doc_id"]]["text"]
+        ids = own.encode_ordinary(text)
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def docs_column():
+    from pyspark.sql import functions as F
+
+    return F.lit("a clashing name")
+
+
+def mixed(rows, before):
+    """Ids as often as the mix takes them whole."""
+    sizes = {i: len(lowered(rows[i]["text"]).encode().split()) for i in before}
+    sources = sorted({rows[i]["source"] for i in before})
+    total = [sum(sizes[i] for i in before if rows[i]["source"] == s) for s in sources]
+    goals = filled(total, [k % 3 + 1 for k in range(len(sources))])
+    keep = []
+    for source, size, goal in zip(sources, total, goals, strict=True):
+        budget = int(goal + 1e-9)
+        own = sorted(
+            (hashlib.md5(f"mix-1:{i}".encode()).hexdigest(), i)
+            for i in before if rows[i]["source"] == source
+        )
+        epochs, left = divmod(budget, size)
+        for _, i in own:
+            keep += [i] * (epochs + (2 * max(0, min(sizes[i], left)) >= sizes[i] > 0))
+            left -= sizes[i]
+    return keep
+
+
+def test_queries_carry_their_columns():
+    assert sorted(queries.QUERIES, key=lambda q: int(q[2:].split("_")[0])) == [
+        "op1_token_counts", "op2_chat_format", "op3_mixing", "op4_lm_scoring", "op5_byte_bpe",
+        "op6_toxicity", "op7_simhash", "op8_exact_dedup", "op9_pii", "op10_embedding_dedup",
+    ]
+    assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
