@@ -6,8 +6,9 @@ the ranks before its own, and both make a tokenizer whose ids are the ranks. The
 built on the driver and broadcast; its size is that of the vocabulary.
 
 A text is cut where one plain space stands between two characters that are no white space: a
-match of the pattern always begins there, so the parts can be encoded on their own, and parts
-seen before come from a bounded store. Ids are those of the whole text.
+match of the pattern always begins there, so the parts can be encoded on their own, and the ids
+are those of the whole text. Parts that repeat in a task's first texts are encoded once; what lies
+between them goes to the library in stretches of bounded size.
 
 `encoded` gives the ids and, if asked, where each token begins and ends in characters. Tokens can
 hold part of a character: both parts then have the offsets of the whole character. `decoded`
@@ -22,16 +23,24 @@ from __future__ import annotations
 
 import base64
 import json
+import os
+from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-#: Parts whose ids a task remembers; beyond that it starts anew.
-REMEMBERED = 300_000
+from .shared import small_batches
+
+#: Matches of the pattern whose merges the library remembers.
+REMEMBERED = 100_000
+#: Parts of texts whose ids a task keeps.
+COMMON = 50_000
+#: Characters encoded at a time: the library holds much for each token.
+AT_ONCE = 200_000
 #: Largest definition that is broadcast, in characters.
 LARGEST = 256 << 20
 #: White space in some definitions, though not all agree on it: no cut beside these.
@@ -123,26 +132,44 @@ def definition(ranks: dict[bytes, int], pattern: str) -> str:
 
 
 class Codec:
-    """A tokenizer in a task."""
+    """A vocabulary in a task; the tokenizer itself is built when something is encoded."""
 
     def __init__(self, tokenizer_json: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.json, self.tokenizer = tokenizer_json, None
         back = {c: b for b, c in enumerate(byte_characters())}
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        vocabulary = json.loads(tokenizer_json)["model"]["vocab"]
         self.token_bytes = [b""] * (max(vocabulary.values(), default=-1) + 1)
         for shown, rank in vocabulary.items():
             self.token_bytes[rank] = bytes(back[c] for c in shown)
         self.lengths = np.array([len(b) for b in self.token_bytes], np.int64)
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, parts: list[str]) -> None:
-        if len(self.known) + len(parts) > REMEMBERED:
-            self.known.clear()
-        encodings = self.tokenizer.encode_batch(parts, add_special_tokens=False)
-        for part, encoding in zip(parts, encodings, strict=True):
-            self.known[part] = np.array(encoding.ids, np.int32).tobytes()
+        self.common: dict[str, bytes] = {}
+
+    def _learn(self, texts: list[str]) -> None:
+        """Ids of the parts that repeat in the first texts; most of any text is such parts."""
+        counts = Counter(p for t in texts if t for p in self.parts(t[:AT_ONCE]))
+        parts = [p for p, n in counts.most_common(COMMON) if n > 1 and len(p) < 40]
+        for at in range(0, len(parts), 2000):
+            some = parts[at : at + 2000]
+            encodings = self._built().encode_batch_fast(some, add_special_tokens=False)
+            for part, encoding in zip(some, encodings, strict=True):
+                self.common[part] = np.array(encoding.ids, np.int32).tobytes()
+
+    def _built(self):
+        if self.tokenizer is None:
+            # one task, one core
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+            from tokenizers.models import BPE
+
+            made = json.loads(self.json)["model"]
+            self.tokenizer = Tokenizer.from_str(self.json)
+            self.tokenizer.model = BPE(
+                vocab=made["vocab"],
+                merges=[tuple(m) for m in made["merges"]],
+                cache_capacity=REMEMBERED,
+                ignore_merges=True,
+            )
+        return self.tokenizer
 
     @staticmethod
     def parts(text: str) -> list[str]:
@@ -165,24 +192,51 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        cut = [self.parts(t) if t else [] for t in texts]
-        out, at = [], 0
-        while at < len(cut):
-            # as many texts as the store can hold the parts of
-            end, count = at, 0
-            while end < len(cut) and (end == at or count + len(cut[end]) <= REMEMBERED // 2):
-                count += len(cut[end])
-                end += 1
-            unknown = {p for p in chain.from_iterable(cut[at:end]) if p not in self.known}
-            if len(unknown) + len(self.known) > REMEMBERED:
-                self.known.clear()
-                unknown = set(chain.from_iterable(cut[at:end]))
-            self._learn(list(unknown))
-            out += [
-                np.frombuffer(b"".join(map(self.known.__getitem__, parts)), np.int32)
-                for parts in cut[at:end]
-            ]
-            at = end
+        if not self.common:
+            self._learn(texts)
+        # bytes of ids, or None where the next stretch that was encoded belongs
+        rows: list[list[bytes | None]] = []
+        stretches, size, out = [], 0, []
+
+        def flush() -> None:
+            nonlocal stretches, size
+            encodings = iter(self._built().encode_batch_fast(stretches, add_special_tokens=False))
+            for row in rows:
+                ids = [
+                    np.array(next(encodings).ids, np.int32).tobytes() if x is None else x
+                    for x in row
+                ]
+                out.append(np.frombuffer(b"".join(ids), np.int32))
+            rows.clear()
+            stretches, size = [], 0
+
+        get = self.common.get
+        for text in texts:
+            row: list[bytes | None] = []
+            stretch: list[str] = []
+            held = 0
+            rows.append(row)
+            for part in self.parts(text) if text else ():
+                ids = get(part)
+                if ids is None:
+                    stretch.append(part)
+                    held += len(part)
+                    if held < AT_ONCE:
+                        continue
+                if stretch:
+                    stretches.append("".join(stretch))
+                    row.append(None)
+                    size += held
+                    stretch, held = [], 0
+                if ids is not None:
+                    row.append(ids)
+            if stretch:
+                stretches.append("".join(stretch))
+                row.append(None)
+                size += held
+            if size >= AT_ONCE:
+                flush()
+        flush()
         return out
 
     def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,10 +252,17 @@ class Codec:
         return b"".join(map(self.token_bytes.__getitem__, ids.tolist()))
 
 
+@lru_cache(maxsize=2)
+def codec_of(tokenizer_json: str) -> Codec:
+    """One codec for all tasks of a Python worker."""
+    return Codec(tokenizer_json)
+
+
 class ByteBpe:
     """Encoding and decoding as columns, for one vocabulary."""
 
     def __init__(self, spark: SparkSession, ranks_path: str, pattern: str) -> None:
+        small_batches()
         made = definition(read_ranks(ranks_path), pattern)
         if len(made) > LARGEST:
             raise ValueError("the vocabulary is too large to broadcast")
@@ -213,7 +274,7 @@ class ByteBpe:
 
         @F.pandas_udf("array<int>")
         def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            codec = Codec(shared.value)
+            codec = codec_of(shared.value)
             for texts in batches:
                 yield pd.Series(codec.encode(texts.tolist()), dtype=object)
 
@@ -225,7 +286,7 @@ class ByteBpe:
 
         @F.pandas_udf("array<array<int>>")
         def of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-            codec = Codec(shared.value)
+            codec = codec_of(shared.value)
             for texts, id_lists in batches:
                 rows = []
                 for text_, ids_ in zip(texts, id_lists, strict=True):
@@ -244,7 +305,7 @@ class ByteBpe:
 
         @F.pandas_udf("binary")
         def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            codec = Codec(shared.value)
+            codec = codec_of(shared.value)
             for id_lists in batches:
                 yield pd.Series(
                     [b"" if i is None else codec.decode(i) for i in id_lists], dtype=object

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .shared import written
+from .shared import small_batches, written
 
 #: Bytes of distinct text that a task holds before it passes groups on or spills.
 MEMORY = 32 << 20
@@ -296,6 +296,7 @@ def _winners(memory: int, schema: pa.Schema, text_col: str):
 
 
 def _grouped(df: DataFrame, id_col: str, text_col: str, memory: int, with_ids: bool) -> DataFrame:
+    small_batches()
     row = df.columns if not with_ids else [text_col]
     source = df.select(
         F.col(f"`{id_col}`").cast("long").alias("id"),

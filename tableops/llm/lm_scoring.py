@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cores, written
+from .shared import cores, small_batches, written
 
 #: Words of the vocabulary at most, so that ids with the two marks fit 16 bits.
 VOCABULARY = 65_534
@@ -283,6 +283,7 @@ def cross_entropy_difference(
     `target` has the text in a column `text`.
     """
     spark = docs.sparkSession
+    small_batches()
     texts = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.col(f"`{text_col}`").alias("text"),

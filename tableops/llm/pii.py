@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .shared import small_batches
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 #: Words whose scores a task remembers; beyond that it starts anew.
@@ -445,6 +447,7 @@ def _listed(*groups: dict[str, list[Span]]) -> list[tuple[str, int, int]]:
 
 def personal_data(text: Column) -> Column:
     """Struct (base, spans) of arrays of (kind, start, finish): of the rules, and of both."""
+    small_batches()
     field = trained()
     span = "array<struct<kind: string, start: int, finish: int>>"
 

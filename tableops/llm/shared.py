@@ -71,5 +71,20 @@ def _forget_all() -> None:
             return
 
 
+#: Rows of an Arrow batch of texts: texts are long, and a batch is held several times over.
+BATCH_ROWS = 1000
+
+
+def small_batches() -> None:
+    """Lower the session's Arrow batches to BATCH_ROWS rows, so that they fit small executors.
+
+    Spark reads the setting when a query starts, so it stays for the session.
+    """
+    spark = SparkSession.active()
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def cores(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

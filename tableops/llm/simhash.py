@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import written
+from .shared import small_batches, written
 
 WORDS, DISTANCE, HASH_SEED = 3, 2, 42
 #: Fingerprints of a list of which all pairs are formed.
@@ -73,6 +73,8 @@ def text_fingerprint(text: str | None, words: int = WORDS, seed: int = HASH_SEED
 def fingerprint(text: Column, words: int = WORDS) -> Column:
     """Column of fingerprints, as longs."""
 
+    small_batches()
+
     @F.pandas_udf("long")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:

@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import small_batches
+
 #: Tokens of a window and step between windows.
 WINDOW, STEP = 24, 12
 #: Sizes: embeddings, states of each direction, attention; hashed trigrams; least word count.
@@ -459,6 +461,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, text: Column, bound: int = SAMP
 
 
 def scores(text: Column, model: Model) -> Column:
+    small_batches()
+
     @F.pandas_udf("double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(model)

@@ -284,10 +284,10 @@ def test_bpe_columns(spark, docs, no_docs):
     assert bytes(null.select(bpe.decoded(F.col("ids"))).first()[0]) == b""
 
 
-def test_bpe_store_is_bounded(codec, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "REMEMBERED", 10)
+def test_bpe_of_parts(codec, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "AT_ONCE", 10)
     ours, theirs = codec
-    texts = [f"a b{i} c{i} " * 7 for i in range(30)] + ["", "x" * 5000]
+    texts = [f"a b{i} c{i}  d\n e " * 7 for i in range(30)] + ["", "x" * 5000, " ", "a  " * 9]
     ids = ours.encode(texts)
     assert [i.tolist() for i in ids] == [theirs.encode_ordinary(t) for t in texts]
 
