@@ -6,7 +6,8 @@ of their own, made anew on every call.
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
 from collections.abc import Callable
 
@@ -54,17 +55,32 @@ def load(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return frames
 
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
 def scratch(spark: SparkSession) -> str:
-    """A fresh database in the folder the cluster shares (local mode: a temporary one)."""
+    """A fresh database in the folder the cluster shares, or else in the warehouse.
+
+    Results are lazy and read its tables, so it is dropped when the interpreter ends.
+    """
     name = f"tableops_{uuid.uuid4().hex}"
     shared = spark.conf.get("spark.checkpoint.dir", "")
-    if not shared and spark.sparkContext.master.startswith("local"):
-        shared = tempfile.mkdtemp(prefix="tableops-")
     at = f" LOCATION '{shared.rstrip('/')}/{name}'" if shared else ""
     spark.sql(f"CREATE DATABASE {name}{at}")
+    _scratch.append((spark, name))
     return name
 
 
+@atexit.register
+def drop_scratch() -> None:
+    """Drop the databases made for queries, where their session still runs."""
+    while _scratch:
+        spark, name = _scratch.pop()
+        with contextlib.suppress(Exception):
+            if spark._jsc is not None and not spark._jsc.sc().isStopped():
+                spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
 def day_bounds(events: DataFrame) -> tuple:
     """First day of the events and the day after the last."""
     row = events.agg(
@@ -139,26 +155,38 @@ def sql_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Number each customer's orders by date, a month at a time.
+    """Number each customer's orders by date, a day at a time.
 
-    The rows are numbered within customer and month, and the customer's orders of earlier
-    months are added from the monthly counts, so that a customer with a large share of all
+    The rows are numbered within customer and date, and the customer's orders of earlier
+    dates are added from the daily counts, so that a customer with a large share of all
     orders is not sorted in one task.
     """
     load(spark, sf_dir, "orders")
     return run_sql(
         spark,
-        """WITH placed AS (
-             SELECT o_custkey, o_orderkey, o_orderdate, trunc(o_orderdate, 'MM') AS month
-             FROM orders),
-           monthly AS (
-             SELECT o_custkey, month, count(*) AS n FROM placed GROUP BY o_custkey, month),
+        """WITH daily AS (
+             SELECT o_custkey, o_orderdate, count(*) AS n FROM orders
+             GROUP BY o_custkey, o_orderdate),
            earlier AS (
-             SELECT o_custkey, month, sum(n) OVER (PARTITION BY o_custkey ORDER BY month) - n AS n
-             FROM monthly)
+             SELECT o_custkey, o_orderdate,
+               sum(n) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) - n AS n
+             FROM daily)
            SELECT p.o_custkey, o_orderkey, e.n + row_number() OVER (
-             PARTITION BY p.o_custkey, p.month ORDER BY o_orderdate, o_orderkey) AS rn
-           FROM placed p JOIN earlier e ON p.o_custkey <=> e.o_custkey AND p.month <=> e.month""",
+             PARTITION BY p.o_custkey, p.o_orderdate ORDER BY o_orderkey) AS rn
+           FROM orders p JOIN earlier e
+             ON p.o_custkey <=> e.o_custkey AND p.o_orderdate <=> e.o_orderdate""",
+    )
+
+
+def sql_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events counted by bands of value; the bands are a derived table of literal rows."""
+    load(spark, sf_dir, "events")
+    return run_sql(
+        spark,
+        """SELECT band, count(*) AS n FROM events
+           JOIN (VALUES ('low', -1e9, 10.0), ('middle', 10.0, 50.0), ('high', 50.0, 1e9))
+             AS bands(band, at_least, below) ON value >= at_least AND value < below
+           GROUP BY band""",
     )
 
 
@@ -265,6 +293,21 @@ def cast_temporal_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cast_temporal(text, {"closed": "date"}, lenient=True)
 
 
+def cast_temporal_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates and times written in a format of their own, read back strictly."""
+    (orders,) = load(spark, sf_dir, "orders")
+    text = orders.select(
+        "o_orderkey",
+        F.date_format("o_orderdate", "dd/MM/yyyy").alias("placed_on"),
+        F.date_format("o_orderdate", "dd/MM/yyyy HH:mm").alias("placed_at"),
+    )
+    return cast_temporal(
+        text,
+        {"placed_on": "date", "placed_at": "timestamp"},
+        formats={"placed_on": "dd/MM/yyyy", "placed_at": "dd/MM/yyyy HH:mm"},
+    )
+
+
 def apply_schema_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     load(spark, sf_dir, "customer")
     result = run_sql(
@@ -643,6 +686,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "result_schema": result_schema_query,
         "cast_temporal": cast_temporal_query,
         "cast_temporal_lenient": cast_temporal_lenient,
+        "cast_temporal_format": cast_temporal_format,
+        "sql_range_join": sql_range_join,
         "apply_schema": apply_schema_query,
         "null_tokens": null_tokens,
         "expression_column": expression_column,
@@ -702,6 +747,12 @@ def oracle_sql() -> dict[str, str]:
                  UNION ALL SELECT s_suppkey, s_name FROM supplier"""
     return {
         **text_queries()[1],
+        "cast_temporal_format": """
+            SELECT o_orderkey, CAST(o_orderdate AS DATE) AS placed_on,
+              date_trunc('minute', o_orderdate) AS placed_at FROM orders""",
+        "sql_range_join": """
+            SELECT CASE WHEN value < 10 THEN 'low' WHEN value < 50 THEN 'middle' ELSE 'high' END
+              AS band, count(*) AS n FROM events WHERE value IS NOT NULL GROUP BY 1""",
         "sql_filter_agg": """
             SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_quantity), 2) AS qty
             FROM lineitem WHERE l_discount < 0.05 GROUP BY l_returnflag, l_linestatus""",

@@ -55,8 +55,13 @@ def cast_temporal(
     def parsed(name: str) -> Column:
         kind, source = spark_type(cols[name]), F.col(quoted(name))
         if name in formats:
-            parse = F.try_to_timestamp if lenient else F.to_timestamp
-            source = parse(source, F.lit(formats[name]))
+            # without zone all the way, so that the session's zone moves no clock time
+            pattern = F.lit(formats[name])
+            parsed_text = F.to_timestamp_ntz(source, pattern)
+            if lenient:
+                is_time = F.try_to_timestamp(source, pattern).isNotNull()
+                parsed_text = F.when(is_time, parsed_text)
+            source = parsed_text
         cast = source.try_cast(kind) if lenient else source.cast(kind)
         return cast.alias(name)
 

@@ -22,20 +22,55 @@ TYPE_NAMES = {
     r"timestamp(?!\s+with)": "timestamp_ntz",
 }
 
+# Containers without element types, as the element types they then have.
+BARE_CONTAINERS = {
+    r"\barray\b(?!\s*[<(])": "array<string>",
+    r"\bmap\b(?!\s*[<(])": "map<string,string>",
+}
+
+_TOKENS = re.compile(r"`(?:[^`]|``)*`|\w+|\s+|.", re.DOTALL)
 _BRACKETS = re.compile(r"\b(array|map)\s*\(((?:[^()]|decimal\s*\([^()]*\))*)\)")
 
 
+def _names_aside(text: str) -> tuple[str, list[str]]:
+    """The text with the field names of structs replaced by numbers, and the names as written."""
+    out, names, open_, word, name_next = [], [], [], "", False
+    for token in _TOKENS.findall(text):
+        if name_next and not token.isspace():
+            name_next = False
+            if token[0] == "`" or token[0].isalnum() or token[0] == "_":
+                out.append(f"\x01{len(names)}\x01")
+                names.append(token if token[0] == "`" else f"`{token}`")
+                continue
+        if token in "<(":
+            open_.append(token == "<" and word == "struct")
+            name_next = open_[-1]
+        elif token in ">)":
+            open_ = open_[:-1]
+        elif token == ",":
+            name_next = bool(open_) and open_[-1]
+        if not token.isspace():
+            word = token.lower()
+        out.append(token)
+    return "".join(out), names
+
+
 def spark_type(name: str) -> DataType:
     """The Spark type for a type name such as ``varchar(10)`` or ``map(varchar, array(bigint))``.
 
-    Any name Spark's own DDL takes is accepted too.
+    Any name Spark's own DDL takes is accepted too. Field names of structs stay as they are.
+    A bare ``array`` has string elements, a bare ``map`` string keys and values.
     """
-    text = name.strip().lower()
+    text, names = _names_aside(name.strip())
+    text = text.lower()
     for pattern, spark_name in TYPE_NAMES.items():
         text = re.sub(rf"\b{pattern}(?![\w])", spark_name, text)
+    for pattern, spark_name in BARE_CONTAINERS.items():
+        text = re.sub(pattern, spark_name, text)
     replaced = 1
     while replaced:  # innermost brackets first, once per nesting level
         text, replaced = _BRACKETS.subn(r"\1<\2>", text)
+    text = re.sub("\x01(\\d+)\x01", lambda m: names[int(m[1])], text)
     try:
         kind = DataType.fromDDL(text)
     except PySparkException as error:

@@ -2,12 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tableops.operators.counted import rebalanced
 from tableops.operators.swap import swap_tables
-from tableops.sources.catalog import NEW_SUFFIX, TableName, create_like, require_table, table_name
+from tableops.sources.catalog import (
+    NEW_SUFFIX,
+    TableName,
+    create_like,
+    drop_table,
+    require_table,
+    table_name,
+)
+
+
+# Texts of errors that another try would only meet again.
+LASTING = ("exceeded", "too many queued queries")
+
+
+def retriable(error: Exception) -> bool:
+    """False for statements at fault, and for limits and full queues."""
+    text = str(error).lower()
+    return not isinstance(error, AnalysisException) and not any(x in text for x in LASTING)
 
 
 def rebuild_table(
@@ -16,6 +35,7 @@ def rebuild_table(
     partitions: int | None = None,
     max_retries: int = 5,
     shuffle: bool = True,
+    retry_if: Callable[[Exception], bool] = retriable,
 ) -> bool:
     """Copy a table into fresh files, swap the copy in and keep the old one as ``___old``.
 
@@ -25,8 +45,9 @@ def rebuild_table(
     ``shuffle=False`` copies as the scan packs its files, which costs no shuffle and is
     enough where they are not very small.
 
-    A failed copy is repeated up to ``max_retries`` times, unless the statement itself is
-    at fault.
+    A failed copy is repeated up to ``max_retries`` times as long as ``retry_if`` holds for
+    the error; by default not where the statement is at fault or a limit is exceeded. What
+    was copied is dropped when giving up.
     """
     target = table_name(spark, name)
     info = require_table(spark, target)
@@ -39,11 +60,10 @@ def rebuild_table(
             copy = _laid_out(spark, target, by, partitions) if shuffle else spark.table(str(target))
             copy.write.insertInto(str(stage))
             break
-        except AnalysisException:
-            raise
-        except Exception:
+        except Exception as error:
             failures += 1
-            if failures > max_retries:
+            if failures > max_retries or not retry_if(error):
+                drop_table(spark, stage)
                 raise
     return swap_tables(spark, stage, target, keep_backup=True)
 

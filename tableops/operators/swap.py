@@ -24,8 +24,8 @@ def swap_tables(
     """Rename ``new_table`` to ``old_table``; the old one is dropped or kept as ``___old``.
 
     A backup from an earlier swap is dropped first. The swap is two renames and so not
-    atomic: between them the name is missing. If the second fails the first is undone. If
-    the process is lost between them, ``ignore_if_not_exists`` completes the swap; the
+    atomic: between them the name is missing. A rename that can't recover its partitions is
+    undone, and if the second fails the first is undone too. If the process is lost between them, ``ignore_if_not_exists`` completes the swap; the
     backup then stays at least until the new table is in place.
     """
     new, old = table_name(spark, new_table), table_name(spark, old_table)

@@ -131,9 +131,21 @@ def drop_table(spark: SparkSession, name: TableName) -> None:
 
 
 def rename_table(spark: SparkSession, source: TableName, target: TableName) -> None:
-    """Rename, and point the partitions of a managed table at the directory's new path."""
+    """Rename, and point the partitions of a managed table at the directory's new path.
+
+    Both or neither: if the partitions can't be recovered, the table gets its name back, and
+    with it the directory to which its partitions still point.
+    """
     info = describe(spark, source)
     spark.sql(f"ALTER TABLE {source} RENAME TO {target}")
     if info.get("type") == "MANAGED" and info.get("partition_columns"):
         # A catalog may keep the old partition paths, and the table then reads as empty.
-        spark.sql(f"MSCK REPAIR TABLE {target}")
+        try:
+            repair_partitions(spark, target)
+        except Exception:
+            spark.sql(f"ALTER TABLE {target} RENAME TO {source}")
+            raise
+
+
+def repair_partitions(spark: SparkSession, name: TableName) -> None:
+    spark.sql(f"MSCK REPAIR TABLE {name}")

@@ -76,9 +76,12 @@ def run_sql_pandas(
 ):
     """The result as a pandas-on-Spark frame, which stays on the executors.
 
+    Without ``index_col`` the index has increasing, not consecutive, numbers.
     ``parse_dates`` makes date and timestamp columns ``datetime64[ns]``; it is applied
     before ``columns`` renames them.
     """
+    from pyspark.pandas import option_context
+
     df = run_sql(spark, sql, args, limit=limit, format_slots=format_slots)
     if parse_dates:
         temporal = (DateType, TimestampType, TimestampNTZType)
@@ -92,5 +95,7 @@ def run_sql_pandas(
         )
     if columns is not None:
         df = apply_schema(df, columns)
-    frame = df.pandas_api(index_col=index_col)
+    # The usual default index would count and persist the whole result.
+    with option_context("compute.default_index_type", "distributed"):
+        frame = df.pandas_api(index_col=index_col)
     return frame if dtype is None else frame.astype(dtype)
