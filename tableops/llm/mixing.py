@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .shared import WORD, written
 
 #: Rows of a source that one range holds, on average.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 SEED = "mix-1"
 
 
