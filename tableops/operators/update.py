@@ -82,6 +82,10 @@ def update_table(
         writer = out.write.format(info["provider"]).mode("errorifexists")
         if location is not None:
             writer = writer.option("path", location)
+        if info.get("num_buckets"):
+            writer = writer.bucketBy(int(info["num_buckets"]), list(info["bucket_columns"]))
+            if info.get("sort_columns"):
+                writer = writer.sortBy(list(info["sort_columns"]))
         (writer.partitionBy(*parts) if parts else writer).saveAsTable(str(stage))
         carry_description(spark, stage, info)
 
@@ -139,7 +143,8 @@ def _updated(
             return old
         new = F.expr(changes[name])
         if retype:
-            return new.alias(name)
+            comment = table.schema[name].metadata.get("comment")
+            return new.alias(name, metadata={} if comment is None else {"comment": comment})
         new = new.cast(table.schema[name].dataType)
         return F.when(F.col(_HIT), new).otherwise(old).alias(name)
 

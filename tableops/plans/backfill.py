@@ -77,8 +77,11 @@ def backfill_range(
     if not days:
         return 0
     target = table_name(spark, into)
-    if (require_table(spark, target).get("partition_columns") or []) != [day_col]:
+    info = require_table(spark, target)
+    parts = info.get("partition_columns") or []
+    if [p.lower() for p in parts] != [day_col.lower()]:
         raise ValueError(f"{target} must be partitioned by {day_col} alone")
+    day_col = parts[0]
     schema = spark.table(str(target)).schema
     if not isinstance(schema[day_col].dataType, (DateType, StringType)):
         raise ValueError(f"{day_col} must be a date or its text: {schema[day_col].dataType}")
@@ -99,7 +102,11 @@ def backfill_range(
             {"days": F.collect_set(date)},
         )
     spark.catalog.refreshTable(str(target))
-    _empty_days(spark, str(target), day_col, sorted(set(days) - set(seen["days"])))
+    stale = sorted(set(days) - set(seen["days"]))
+    if info.get("type") == "MANAGED":
+        _drop_days(spark, str(target), day_col, stale)
+    else:
+        _empty_days(spark, str(target), day_col, stale)
     return seen["rows"]
 
 
@@ -118,8 +125,9 @@ def daily_slices(
     """
     days = _days(start, stop)
     lower, upper = F.lit(_date(start)), F.lit(_date(stop))
-    inside = df.where((F.col(ts) >= lower) & (F.col(ts) < upper))
-    daily = inside.groupBy(F.to_date(ts).alias(day_col)).agg(*aggregates)
+    at = F.col(quoted(ts))
+    inside = df.where((at >= lower) & (at < upper))
+    daily = inside.groupBy(F.to_date(at).alias(day_col)).agg(*aggregates)
     names = daily.columns[1:]
     over_nothing = df.limit(0).agg(*aggregates).first()  # folded to a constant, reads nothing
     calendar = df.sparkSession.range(len(days)).select(
@@ -152,13 +160,25 @@ def _partition(day_col: str, day: dt.date) -> str:
     return f"PARTITION ({quoted(day_col)} = DATE '{day.isoformat()}')"
 
 
+def _drop_days(spark: SparkSession, target: str, day_col: str, days: list[dt.date]) -> None:
+    """Drop the days' partitions, with their files, in one statement."""
+    if days:
+        listed = ", ".join(_partition(day_col, day) for day in days)
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS {listed}")
+
+
 def _empty_days(spark: SparkSession, target: str, day_col: str, days: list[dt.date]) -> None:
-    """Overwrite with no rows those of the days that exist as partitions."""
-    texts = {f"{day_col}={day.isoformat()}": day for day in days}
-    listed = spark.sql(f"SHOW PARTITIONS {target}").where(F.col("partition").isin(list(texts)))
+    """Overwrite with no rows those of the days that exist as partitions.
+
+    For external tables, where dropping a partition would leave its files.
+    """
+    texts = {day.isoformat(): day for day in days}
+    # The day alone: the catalog may escape the column's name.
+    value = F.substring_index("partition", "=", -1).alias("day")
+    listed = spark.sql(f"SHOW PARTITIONS {target}").select(value).where(F.col("day").isin(list(texts)))
     nulls = ", ".join("NULL" for _ in spark.table(target).columns[:-1])
     for row in listed.toLocalIterator():
         spark.sql(
-            f"INSERT OVERWRITE TABLE {target} {_partition(day_col, texts[row.partition])} "
+            f"INSERT OVERWRITE TABLE {target} {_partition(day_col, texts[row.day])} "
             f"SELECT {nulls} WHERE false"
         )

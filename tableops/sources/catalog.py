@@ -127,7 +127,17 @@ def carry_description(spark: SparkSession, stage: TableName, info: dict[str, Any
 
 
 def drop_table(spark: SparkSession, name: TableName) -> None:
+    """Drop a table; of an external one also its directory, if a rewrite has made that."""
+    made = None
+    if table_exists(spark, name):
+        info = describe(spark, name)
+        location = (info.get("location") or "").rstrip("/")
+        if info.get("type") == "EXTERNAL" and _STAGE_SUFFIX.search(location):
+            made = location
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if made is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(made)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def rename_table(spark: SparkSession, source: TableName, target: TableName) -> None:

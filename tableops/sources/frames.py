@@ -15,6 +15,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
 )
 
 
@@ -27,7 +28,8 @@ def as_frame(spark: SparkSession, data: Any, schema: StructType | None) -> DataF
 
     Rows come as lists or tuples and need a schema; their values travel as text and are
     cast to it later by Spark, so '5' and 5 are both good for a number, and a date may be
-    a date or text.
+    a date or text. Bytes for a text column are read as UTF-8; a time with a zone is refused
+    by a column without.
     """
     if isinstance(data, DataFrame):
         return data
@@ -69,4 +71,8 @@ def _as_text(value: Any, kind: DataType) -> Any:
         }
     if isinstance(kind, StructType):
         return tuple(_as_text(v, f.dataType) for v, f in zip(value, kind))
+    if isinstance(value, (bytes, bytearray)):
+        return value.decode("utf-8")
+    if isinstance(kind, TimestampNTZType) and getattr(value, "tzinfo", None) is not None:
+        raise ValueError(f"The column has no time zone, the value has: {value}")
     return str(value)
