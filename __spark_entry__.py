@@ -602,19 +602,41 @@ def script_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DAY_QUERY = """
-    SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events
-    WHERE ts >= :start_time AND ts < :stop_time GROUP BY event_type
+    SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM {source}
+    WHERE on_day >= {start} AND on_day < {stop} GROUP BY event_type
 """
 
 
-def backfill_daily_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    (events,) = load(spark, sf_dir, "events")
-    table = f"{scratch(spark)}.by_day"
+def days_to_fill(spark: SparkSession, events: DataFrame) -> tuple[str, str]:
+    """Events partitioned by day, so that a day reads its own partition, and a table to fill."""
+    database = scratch(spark)
+    source, table = f"{database}.events_by_day", f"{database}.by_day"
+    dated = events.withColumn("on_day", F.to_date("ts"))
+    save_table(spark, dated, source, partition_by=["on_day"])
     spark.sql(
         f"""CREATE TABLE {table} (event_type STRING, n BIGINT, total DOUBLE, day DATE)
             USING parquet PARTITIONED BY (day)"""
     )
-    result = backfill_daily(spark, DAY_QUERY, *day_bounds(events), into=table)
+    return source, table
+
+
+def backfill_daily_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (events,) = load(spark, sf_dir, "events")
+    source, table = days_to_fill(spark, events)
+    query = DAY_QUERY.format(source=source, start=":start_time", stop=":stop_time")
+    result = backfill_daily(spark, query, *day_bounds(events), into=table)
+    if not result["succeeded"]:
+        raise RuntimeError(result["error"])
+    return spark.table(table)
+
+
+def backfill_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by a plain script, which names its day in text and its partition itself."""
+    (events,) = load(spark, sf_dir, "events")
+    source, table = days_to_fill(spark, events)
+    query = DAY_QUERY.format(source=source, start="DATE '$START_TIME'", stop="DATE '$STOP_TIME'")
+    script = f"INSERT OVERWRITE TABLE {table} PARTITION (day = DATE '$START_TIME') {query};"
+    result = backfill_daily(spark, script, *day_bounds(events))
     if not result["succeeded"]:
         raise RuntimeError(result["error"])
     return spark.table(table)
@@ -715,6 +737,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "script_pipeline": script_pipeline,
         "script_resume": script_resume,
         "backfill_daily": backfill_daily_query,
+        "backfill_template": backfill_template,
         "backfill_range": backfill_range_query,
         "daily_slices": daily_slices_query,
     }
@@ -871,6 +894,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT c_name, (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) AS n
             FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)""",
         "backfill_daily": by_day,
+        "backfill_template": by_day,
         "backfill_range": by_day,
         "daily_slices": """
             SELECT CAST(d.day AS DATE) AS day, count(e.event_id) AS n_events,

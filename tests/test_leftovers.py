@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 import tableops.operators.rebuild as rebuild
 from tableops import backfill_range, daily_slices, rebuild_table, save_table, update_table
 from tableops.sources.catalog import describe, table_name
@@ -85,3 +86,13 @@ def test_bytes_are_text_and_zones_are_not_lost(spark, db):
     zoned = dt.datetime(2024, 1, 1, 12, tzinfo=dt.timezone(dt.timedelta(hours=5)))
     with pytest.raises(ValueError, match="no time zone"):
         save_table(spark, [(zoned,)], f"{db}.z", schema={"t": "timestamp"})
+
+
+def test_a_backfilled_day_reads_its_partition_only(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    source, _ = contract.days_to_fill(spark, events)
+    first, _ = contract.day_bounds(events)
+    query = contract.DAY_QUERY.format(source=source, start=":a", stop=":b")
+    df = spark.sql(query, {"a": first, "b": first + dt.timedelta(days=1)})
+    plan = df._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(on_day" in plan
