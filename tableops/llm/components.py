@@ -43,9 +43,12 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         after = written(small, "edges")
         forget(state)
         state = after
-        # done when all hang under a root: no node is both child and parent
+        # done when each hangs under one root: no node is both child and parent, or child of two
         parents = state.select(F.col("v").alias("p")).distinct()
-        if not state.join(parents, F.col("u") == F.col("p"), "left_semi").take(1):
+        if state.join(parents, F.col("u") == F.col("p"), "left_semi").take(1):
+            continue
+        ends = state.groupBy("u").agg(F.min("v").alias("least"), F.max("v").alias("most"))
+        if not ends.where("least <> most").take(1):
             break
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -425,6 +425,20 @@ def test_components(spark):
     assert components(df.limit(0)).collect() == []
 
 
+def test_components_of_paths_in_any_order(spark):
+    rng = random.Random(3)
+    paths = [[2, 5, 4, 3, 1], *(rng.sample(range(20 * i, 20 * i + 20), 6 + i % 7) for i in range(1, 40))]
+    edges = [e for p in paths for e in zip(p, p[1:])]
+    rows = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert sorted(map(tuple, rows)) == sorted((n, min(p)) for p in paths for n in p)
+
+
+@pytest.mark.parametrize("path", [[2, 5, 4, 3, 1], [3, 4, 6, 5, 2, 1]])
+def test_components_of_one_path(spark, path):
+    rows = components(spark.createDataFrame(list(zip(path, path[1:])), "a long, b long")).collect()
+    assert sorted(map(tuple, rows)) == sorted((n, 1) for n in path)
+
+
 # --- exact dedup ---------------------------------------------------------------------
 
 
