@@ -336,14 +336,18 @@ def _evidence(texts: list[list[str]], labels: np.ndarray) -> dict[str, float]:
     return {w: (k - n * share) / np.sqrt(n * share * (1 - share) + 1) for w, (n, k) in seen.items()}
 
 
-def train(rows: list[tuple[int, str, int]], rounds: int = 4, batches: int = 60, seed: int = 7):
+def train(rows: list[tuple], rounds: int = 4, batches: int = 60, seed: int = 7):
     """Network and calibration from (id, text, label); the same rows give the same model.
 
+    A fourth field is the number of labelled rows that a row stands for, 1 without it. It weighs
+    the calibration, so that scores are chances among all labelled rows, not among the sample.
+
     Windows to learn from are, for each text, those with the words of most evidence and some by
     chance; the network then chooses among them, round by round.
     """
     rows = sorted(rows, key=lambda r: zlib.crc32(f"order:{r[0]}".encode()))
     labels = np.array([r[2] for r in rows], np.float32)
+    stands = np.array([r[3] if len(r) > 3 else 1.0 for r in rows])
     if not len(rows) or labels.min() == labels.max():
         return Model(None, np.zeros(3), float(labels.mean()) if len(rows) else 0.0)
     rng = np.random.default_rng(seed)
@@ -405,18 +409,25 @@ def train(rows: list[tuple[int, str, int]], rounds: int = 4, batches: int = 60,
             adam.step(g, 0.3 if r == rounds - 1 else 1.0)
     held = np.flatnonzero(fold)
     best, n = Scorer(Model(network, np.zeros(3), 0.0)).windows([texts[i] for i in held])
-    return Model(network, _calibrate(best, n, labels[held]), float(labels.mean()))
+    share = float(np.average(labels, weights=stands))
+    return Model(network, _calibrate(best, n, labels[held], stands[held]), share)
+
 
+def _calibrate(
+    best: np.ndarray, windows: np.ndarray, y: np.ndarray, stands: np.ndarray
+) -> np.ndarray:
+    """Logistic regression on (logit, log windows, 1) by Newton steps with a small penalty.
 
-def _calibrate(best: np.ndarray, windows: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic regression on (logit, log windows, 1) by Newton steps with a small penalty."""
+    Weights are 1 on average, so that the penalty counts the same at every size of the input.
+    """
+    v = stands / stands.mean()
     x = np.stack([best, np.log(windows), np.ones(len(best))], axis=1).astype(np.float64)
     w = np.array([1.0, 0.0, 0.0])
     prior = w.copy()
     for _ in range(50):
         p = _sigmoid(x @ w)
-        g = x.T @ (p - y) + 1.0 * (w - prior) * [1, 1, 0.01]
-        hess = (x * (p * (1 - p))[:, None]).T @ x + np.diag([1, 1, 0.01])
+        g = x.T @ (v * (p - y)) + 1.0 * (w - prior) * [1, 1, 0.01]
+        hess = (x * (v * p * (1 - p))[:, None]).T @ x + np.diag([1, 1, 0.01])
         w = w - np.clip(np.linalg.solve(hess, g), -1, 1)
     w[0] = max(w[0], 1e-3)
     return w
@@ -427,12 +438,17 @@ def held_out(id_: Column) -> Column:
     return F.crc32(F.coalesce(id_.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def sample(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> list[tuple[int, str, int]]:
+def sample(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> list[tuple]:
     """At most `bound` labelled documents of each label, by hash of the id; long ones in part.
 
+    Rows are (id, text, label, number of labelled rows of its label that it stands for).
+
     The ids are bounded before texts are read, and small enough to be sent to all tasks. Of a
     document longer than SAMPLE_WINDOWS windows training sees the windows of one stretch.
     """
+    learnt = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
+    held = learnt.groupBy(F.col("toxic").cast("int").alias("toxic")).count().collect()
+    stands = {r["toxic"]: max(r["count"] / bound, 1.0) for r in held}
     ids = None
     for label in (0, 1):
         part = (
@@ -448,9 +464,9 @@ def sample(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> list[tupl
         F.substring(F.coalesce("text", F.lit("")), 1, stretch).alias("text"),
         "toxic",
     )
-    seen: dict[int, tuple[int, str, int]] = {}
+    seen: dict[int, tuple] = {}
     for r in joined.toArrow().to_pylist():
-        row = (r["doc_id"], r["text"], r["toxic"])
+        row = (r["doc_id"], r["text"], r["toxic"], stands[r["toxic"]])
         seen[row[0]] = min(seen.get(row[0], row), row)
     return list(seen.values())
 

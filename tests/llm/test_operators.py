@@ -321,6 +321,22 @@ def test_toxicity_held_out():
     assert scorer.score([late])[0] > scorer.score(["word1 " * 30_004])[0]
 
 
+def test_toxicity_sample_weighs_labels(spark):
+    """Both labels bounded to the same number still calibrate to the share among all labels."""
+    docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 10 == 0).cast("int").alias("toxic"))
+    rows = toxicity.sample(docs, labels, bound=30)
+    learnt = labels.where(~toxicity.held_out(F.col("doc_id")))
+    for label in (0, 1):
+        own = [r[3] for r in rows if r[2] == label]
+        assert len(own) == 30
+        assert sum(own) == pytest.approx(learnt.where(F.col("toxic") == label).count())
+    y = np.array([r[2] for r in rows], float)
+    stands = np.array([r[3] for r in rows])
+    w = toxicity._calibrate(np.zeros(len(rows)), np.ones(len(rows)), y, stands)
+    assert 1 / (1 + np.exp(-w[2])) == pytest.approx(np.average(y, weights=stands), abs=0.01)
+
+
 def test_toxicity_without_labels():
     assert toxicity.Scorer(toxicity.train([])).score(["a", None]).tolist() == [0, 0]
     assert toxicity.Scorer(toxicity.train([(1, "a", 1)])).score(["a"]).tolist() == [1]
