@@ -464,11 +464,9 @@ def sample(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> list[tupl
         F.substring(F.coalesce("text", F.lit("")), 1, stretch).alias("text"),
         "toxic",
     )
-    seen: dict[int, tuple] = {}
-    for r in joined.toArrow().to_pylist():
-        row = (r["doc_id"], r["text"], r["toxic"], stands[r["toxic"]])
-        seen[row[0]] = min(seen.get(row[0], row), row)
-    return list(seen.values())
+    one = joined.groupBy("doc_id").agg(F.min(F.struct("text", "toxic")).alias("row"))
+    rows = one.select("doc_id", "row.text", "row.toxic").toArrow().to_pylist()
+    return [(r["doc_id"], r["text"], r["toxic"], stands[r["toxic"]]) for r in rows]
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, text: Column, bound: int = SAMPLE) -> Column:

@@ -337,6 +337,25 @@ def test_toxicity_sample_weighs_labels(spark):
     assert 1 / (1 + np.exp(-w[2])) == pytest.approx(np.average(y, weights=stands), abs=0.01)
 
 
+def test_toxicity_sample_sends_one_row_per_document(spark, monkeypatch):
+    ids = spark.range(40).select(F.col("id").alias("doc_id"))
+    text = F.concat(F.lit("text "), F.col("n").cast("string"))
+    docs = ids.crossJoin(spark.range(5).select(F.col("id").alias("n"))).select(
+        "doc_id", text.alias("text")
+    )
+    labels = ids.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    sent, to_arrow = [], type(docs).toArrow
+
+    def counted(df):
+        sent.append(to_arrow(df))
+        return sent[-1]
+
+    monkeypatch.setattr(type(docs), "toArrow", counted)
+    rows = toxicity.sample(docs, labels)
+    assert sum(t.num_rows for t in sent) == len({r[0] for r in rows}) == len(rows) > 0
+    assert {r[1] for r in rows} == {"text 0"}
+
+
 def test_toxicity_without_labels():
     assert toxicity.Scorer(toxicity.train([])).score(["a", None]).tolist() == [0, 0]
     assert toxicity.Scorer(toxicity.train([(1, "a", 1)])).score(["a"]).tolist() == [1]
