@@ -12,12 +12,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .best_fit_packing import packed_pieces
 from .byte_bpe import ByteBpe
 from .chat_format import format_conversations, read_back
 from .embedding_dedup import embedding_groups
 from .exact_dedup import exact_groups
 from .lm_scoring import cross_entropy_difference
 from .mixing import mix, word_count
+from .merkle import manifest
+from .periodic_runs import periodic_runs
 from .pii import KINDS, personal_data
 from .shared import shared_folder, table, written
 from .simhash import simhash_groups
@@ -388,6 +391,137 @@ OP10_SQL = """
       ON r.start = e.vec_id"""
 
 
+# --- 11: best-fit packing ------------------------------------------------------------
+
+
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_pieces(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+    )
+
+
+# --- 12: Merkle dataset manifest -----------------------------------------------------
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of documents whose id has an even CRC-32, the text loses its line feeds."""
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+
+    def tampered(text):
+        return F.when(even, F.replace(text, F.lit("\n"), F.lit(""))).otherwise(text)
+
+    return manifest(table(spark, sf_dir, "documents"), tampered).drop("changed")
+
+
+def _op12_sql() -> str:
+    def leaf(text: str) -> str:
+        fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+        return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+    def up(name: str, start: str, key: str) -> str:
+        return f"""{name} AS (
+          {start}
+          UNION ALL SELECT {key}, level + 1, [sha256(array_to_string(nodes[3 * i + 1 : 3 * i + 3], ''))
+            FOR i IN range((len(nodes) + 2) // 3)] FROM {name} WHERE len(nodes) > 1)"""
+
+    return f"""
+    WITH RECURSIVE crc_table AS (
+      SELECT list(c ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+          CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+    leaves AS (
+      SELECT *, {leaf("text")} AS leaf,
+        CASE WHEN crc & 1 = 1 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS changed,
+        row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos
+      FROM (SELECT *, (SELECT list_reduce(list_prepend(4294967295,
+          [CAST(ascii(x) AS BIGINT) FOR x IN string_split(CAST(doc_id AS VARCHAR), '')]),
+          lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])) FROM crc_table) AS crc FROM documents)),
+    {up("tree", "SELECT source, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM leaves GROUP BY source", "source")},
+    subroots AS (
+      SELECT source, nodes[1] AS subroot,
+        row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos FROM tree WHERE len(nodes) = 1),
+    {up("top", "SELECT 0 AS level, list(subroot ORDER BY pos) AS nodes FROM subroots", "")
+     .replace("SELECT , level", "SELECT level")},
+    runs AS (
+      SELECT false AS over, source, level, i AS run, nodes[3 * i + 1 : 3 * i + 3] AS nodes
+      FROM (SELECT *, unnest(range((len(nodes) + 2) // 3)) AS i FROM tree WHERE len(nodes) > 1)
+      UNION ALL SELECT true, NULL, level, i, nodes[3 * i + 1 : 3 * i + 3]
+      FROM (SELECT *, unnest(range((len(nodes) + 2) // 3)) AS i FROM top WHERE len(nodes) > 1)),
+    folds AS (
+      SELECT doc_id, source, pos, 0 AS level, changed AS digest, '' AS siblings FROM leaves
+      UNION ALL
+      SELECT doc_id, f.source, pos // 3, f.level + 1,
+        sha256(array_to_string(nodes[1 : pos % 3], '') || digest || array_to_string(nodes[pos % 3 + 2 :], '')),
+        siblings || array_to_string(nodes[1 : pos % 3], '') || array_to_string(nodes[pos % 3 + 2 :], '')
+      FROM folds f JOIN runs r ON NOT over AND f.source IS NOT DISTINCT FROM r.source
+        AND f.level = r.level AND r.run = pos // 3),
+    heights AS (SELECT source, max(level) AS level FROM tree GROUP BY source),
+    over AS (
+      SELECT f.doc_id, s.pos, 0 AS level, digest, siblings
+      FROM folds f JOIN heights h ON f.source IS NOT DISTINCT FROM h.source AND f.level = h.level
+      JOIN subroots s ON f.source IS NOT DISTINCT FROM s.source
+      UNION ALL
+      SELECT doc_id, pos // 3, f.level + 1,
+        sha256(array_to_string(nodes[1 : pos % 3], '') || digest || array_to_string(nodes[pos % 3 + 2 :], '')),
+        siblings || array_to_string(nodes[1 : pos % 3], '') || array_to_string(nodes[pos % 3 + 2 :], '')
+      FROM over f JOIN runs r ON r.over AND f.level = r.level AND r.run = pos // 3)
+    SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, digest AS folded_root,
+      digest = root AS verified
+    FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source
+    JOIN (SELECT level, nodes[1] AS root FROM top WHERE len(nodes) = 1) ON true
+    JOIN over o USING (doc_id, level)"""
+
+
+# --- 13: periodic runs ---------------------------------------------------------------
+
+
+def repeating(doc_id, text):
+    """Of texts whose id has a CRC-32 that 10 divides, a tail becomes a repeat of its first words."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def tail(w):
+        n = F.size(w).cast("long")
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+        index = F.sequence(F.lit(0).cast("long"), n - 1)
+        source = F.transform(
+            index, lambda i: F.get(w, F.when(i >= a, a + (i - a) % p).otherwise(i).cast("int"))
+        )
+        return F.array_join(source, " ")
+
+    # an array of one element holds the words, so that they are cut once
+    told = F.get(
+        F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, tail(w)).otherwise("")), F.lit(0)
+    )
+    return F.when(h % 10 == 0, told).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    text = repeating(F.col("doc_id"), F.col("text")).alias("text")
+    found = periodic_runs(docs.select("doc_id", text))
+    best = F.array_min(
+        F.transform("runs", lambda r: F.struct((-r.getField("length")).alias("by"), *[
+            r.getField(c).alias(c) for c in ("start", "period", "length")]))
+    )
+    listed = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", *[
+            r.getField(c).cast("string") for c in ("start", "length", "period")]), F.lit("\n"))
+    )
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
@@ -399,6 +533,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_pii": op9_pii,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -408,4 +545,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_lm_scoring": OP4_SQL,
     "op8_exact_dedup": OP8_SQL,
     "op10_embedding_dedup": OP10_SQL,
+    "op12_merkle_manifest": _op12_sql(),
 }
