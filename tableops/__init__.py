@@ -9,7 +9,7 @@ from tableops.functions.columns import (
 )
 from tableops.functions.types import spark_type
 from tableops.operators.rebuild import rebuild_table
-from tableops.operators.swap import swap_tables
+from tableops.operators.swap import recover_table, swap_tables
 from tableops.operators.update import finish_update, update_table
 from tableops.operators.write import bulk_insert, create_from_data, save_table
 from tableops.plans.backfill import backfill_daily, backfill_range, daily_slices
@@ -29,6 +29,7 @@ __all__ = [
     "finish_update",
     "normalize_nulls",
     "rebuild_table",
+    "recover_table",
     "result_schema",
     "run_script",
     "run_sql",

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tableops.operators.counted import rebalanced
-from tableops.operators.swap import swap_tables
+from tableops.operators.swap import recover_table, swap_tables
 from tableops.sources.catalog import (
     NEW_SUFFIX,
     TableName,
@@ -50,6 +50,7 @@ def rebuild_table(
     was copied is dropped when giving up.
     """
     target = table_name(spark, name)
+    recover_table(spark, target)
     info = require_table(spark, target)
     stage = target.with_suffix(NEW_SUFFIX)
     by = info.get("partition_columns") or []

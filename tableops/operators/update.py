@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from tableops.functions.names import quoted
 from tableops.operators.counted import counted_write, dynamic_overwrite, rebalanced
-from tableops.operators.swap import swap_tables
+from tableops.operators.swap import recover_table, swap_tables
 from tableops.sources.catalog import (
     PATCH_SUFFIX,
     UPDATED_SUFFIX,
@@ -19,6 +19,7 @@ from tableops.sources.catalog import (
     drop_table,
     rename_table,
     require_table,
+    settle,
     stage_location,
     table_exists,
     table_name,
@@ -47,6 +48,7 @@ def update_table(
     columns alone: other partitions are then neither read nor written nor updated.
     """
     target = table_name(spark, name)
+    recover_table(spark, target)
     info = require_table(spark, target)
     table = spark.table(str(target))
     parts = info.get("partition_columns") or []
@@ -110,6 +112,8 @@ def finish_update(spark: SparkSession, name: str) -> bool:
     patch = target.with_suffix(PATCH_SUFFIX)
     if not table_exists(spark, patch):
         return False
+    settle(spark, patch)
+    settle(spark, target)
     with dynamic_overwrite(spark):
         spark.table(str(patch)).write.insertInto(str(target), overwrite=True)
     spark.catalog.refreshTable(str(target))

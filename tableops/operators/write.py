@@ -14,7 +14,7 @@ from tableops.functions.columns import NULL_TOKENS, null_token_column
 from tableops.functions.names import quoted
 from tableops.functions.types import struct_from, struct_of
 from tableops.operators.counted import counted_write, rebalanced
-from tableops.operators.swap import swap_tables
+from tableops.operators.swap import recover_table, swap_tables
 from tableops.sources.catalog import (
     NEW_SUFFIX,
     TableName,
@@ -66,6 +66,7 @@ def save_table(
     if match not in ("position", "name"):
         raise ValueError(f"match must be position or name: {match!r}")
     target = table_name(spark, name)
+    recover_table(spark, target)
     exists = table_exists(spark, target)
     if exists and mode == "fail":
         raise ValueError(f"Table {target} already exists")
@@ -120,6 +121,7 @@ def bulk_insert(
 ) -> int:
     """Append by position to a table that exists; without types, values are taken as text."""
     target = table_name(spark, name)
+    recover_table(spark, target)
     require_table(spark, target)
     names = spark.table(str(target)).columns
     schema = None if types is None else struct_from(names, types)

@@ -11,6 +11,7 @@ from pyspark.sql.types import DateType, StringType
 
 from tableops.functions.names import quoted
 from tableops.operators.counted import counted_write, dynamic_overwrite, rebalanced
+from tableops.operators.swap import recover_table
 from tableops.plans.script import run_script
 from tableops.sources.catalog import require_table, table_name
 from tableops.sources.query import run_sql
@@ -42,6 +43,7 @@ def backfill_daily(
     """
     target = None if into is None else table_name(spark, into)
     if target is not None:
+        recover_table(spark, target)
         require_table(spark, target)
     done: list[dt.date] = []
     for day in _days(start, stop):
@@ -77,6 +79,7 @@ def backfill_range(
     if not days:
         return 0
     target = table_name(spark, into)
+    recover_table(spark, target)
     info = require_table(spark, target)
     parts = info.get("partition_columns") or []
     if [p.lower() for p in parts] != [day_col.lower()]:

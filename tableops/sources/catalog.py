@@ -25,6 +25,11 @@ NEW_SUFFIX = "___new"
 UPDATED_SUFFIX = "___updated"
 PATCH_SUFFIX = "___patch"
 
+# Properties that say what is under way. A table whose partitions may still point
+# at its former directory has the first; one that is being swapped out has the second.
+MOVING = "tableops.moving"
+SWAP = "tableops.swap"
+
 
 @dataclass(frozen=True)
 class TableName:
@@ -119,7 +124,9 @@ def carry_description(spark: SparkSession, stage: TableName, info: dict[str, Any
     if info.get("comment"):
         spark.sql(f"COMMENT ON TABLE {stage} IS {sql_text(info['comment'])}")
     properties = {
-        k: v for k, v in (info.get("table_properties") or {}).items() if v != _REDACTED
+        k: v
+        for k, v in (info.get("table_properties") or {}).items()
+        if v != _REDACTED and k not in (MOVING, SWAP)
     }
     if properties:
         pairs = ", ".join(f"{sql_text(k)} = {sql_text(v)}" for k, v in properties.items())
@@ -144,17 +151,45 @@ def rename_table(spark: SparkSession, source: TableName, target: TableName) -> N
     """Rename, and point the partitions of a managed table at the directory's new path.
 
     Both or neither: if the partitions can't be recovered, the table gets its name back, and
-    with it the directory to which its partitions still point.
+    with it the directory to which its partitions still point. If the process is lost on the
+    way, the table is left with a property that makes `settle` recover them.
     """
     info = describe(spark, source)
+    moves = info.get("type") == "MANAGED" and bool(info.get("partition_columns"))
+    if moves:
+        set_note(spark, source, MOVING, str(target))
     spark.sql(f"ALTER TABLE {source} RENAME TO {target}")
-    if info.get("type") == "MANAGED" and info.get("partition_columns"):
+    if moves:
         # A catalog may keep the old partition paths, and the table then reads as empty.
         try:
             repair_partitions(spark, target)
         except Exception:
             spark.sql(f"ALTER TABLE {target} RENAME TO {source}")
+            drop_note(spark, source, MOVING)
             raise
+        drop_note(spark, target, MOVING)
+
+
+def settle(spark: SparkSession, name: TableName) -> None:
+    """Recover the partitions of a table whose rename was never ended."""
+    if note(describe(spark, name), MOVING) is not None:
+        repair_partitions(spark, name)
+        drop_note(spark, name, MOVING)
+
+
+def note(info: dict[str, Any], key: str) -> Any:
+    text = (info.get("table_properties") or {}).get(key)
+    return None if text is None else json.loads(bytes.fromhex(text))
+
+
+def set_note(spark: SparkSession, name: TableName, key: str, value: Any) -> None:
+    """Written as hex, for Spark blanks out properties whose text has words like token in it."""
+    text = json.dumps(value).encode().hex()
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({sql_text(key)} = {sql_text(text)})")
+
+
+def drop_note(spark: SparkSession, name: TableName, key: str) -> None:
+    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ({sql_text(key)})")
 
 
 def repair_partitions(spark: SparkSession, name: TableName) -> None:
