@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -26,6 +28,8 @@ from tableops.sources.catalog import (
 )
 
 _HIT = "___hit"
+#: Partitions with updated rows that are rewritten one by one; their values come to the driver.
+HIT_PARTITIONS = 1000
 
 
 def update_table(
@@ -44,8 +48,14 @@ def update_table(
 
     The table is read once, in one job, into a table beside it, which is then swapped in.
     There is no shuffle, unless a partition column is set, so that rows change partition,
-    or Spark joins a subquery of the predicate. ``only_partitions`` is a deterministic predicate over partition
-    columns alone: other partitions are then neither read nor written nor updated.
+    or Spark joins a subquery of the predicate.
+
+    Of a partitioned table only partitions with rows to update are written. They are found first,
+    by a scan of the predicate's and partition columns alone, with the predicate pushed down; the
+    table is rewritten whole if they are over half of all, or over HIT_PARTITIONS, or if the
+    predicate is not deterministic. ``only_partitions`` is a deterministic predicate over
+    partition columns alone: other partitions are then neither read nor written nor updated, and
+    those it names are all written.
     """
     target = table_name(spark, name)
     recover_table(spark, target)
@@ -68,6 +78,13 @@ def update_table(
         spark.createDataFrame([], layout).where(only_partitions)
         table = table.where(only_partitions)
 
+    elif where is not None and parts and not moves_rows:
+        found = _hit_partitions(table.where(where), parts)
+        if found == []:
+            return 0
+        if found is not None and 2 * len(found) <= spark.sql(f"SHOW PARTITIONS {target}").count():
+            table, only_partitions = table.where(_is_one_of(parts, found)), where
+
     updated = _updated(table, changes, hit, retype)
     if moves_rows:
         updated = rebalanced(updated, parts)
@@ -121,6 +138,23 @@ def finish_update(spark: SparkSession, name: str) -> bool:
     return True
 
 
+def _hit_partitions(rows: DataFrame, parts: list[str]) -> list[Row] | None:
+    """The partitions of the rows; None if there are too many or another scan may find others."""
+    if not rows._jdf.queryExecution().analyzed().deterministic():
+        return None
+    found = rows.select(*map(quoted, parts)).distinct().take(HIT_PARTITIONS + 1)
+    return found if len(found) <= HIT_PARTITIONS else None
+
+
+def _is_one_of(parts: list[str], values: list[Row]) -> Column:
+    """A predicate on the partition columns, which prunes when the scan is planned."""
+    any_of = [
+        reduce(and_, [F.col(quoted(c)).eqNullSafe(F.lit(v)) for c, v in zip(parts, row)])
+        for row in values
+    ]
+    return reduce(or_, any_of)
+
+
 def _checked_sets(schema: StructType, sets: Mapping[str, str]) -> dict[str, str]:
     columns = {f.name.lower(): f.name for f in schema}
     changes: dict[str, str] = {}
