@@ -79,7 +79,7 @@ def update_table(
         table = table.where(only_partitions)
 
     elif where is not None and parts and not moves_rows:
-        found = _hit_partitions(table.where(where), parts)
+        found = _hit_partitions(table.where(F.expr(where).cast("boolean")), parts)
         if found == []:
             return 0
         if found is not None and 2 * len(found) <= spark.sql(f"SHOW PARTITIONS {target}").count():
