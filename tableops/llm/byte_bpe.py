@@ -5,10 +5,9 @@ printable characters as byte-level BPE does, the merges are found by taking each
 the ranks before its own, and both make a tokenizer whose ids are the ranks. The definition is
 built on the driver and broadcast; its size is that of the vocabulary.
 
-A text is cut where one plain space stands between two characters that are no white space: a
-match of the pattern always begins there, so the parts can be encoded on their own, and the ids
-are those of the whole text. Parts that repeat in a task's first texts are encoded once; what lies
-between them goes to the library in stretches of bounded size.
+Texts are encoded by their parts (`part_encoder`): with the usual pattern of byte-level BPE a match
+always begins at certain places, so parts that repeat are encoded once and remembered up to a bound.
+With any other pattern the library gets each text whole.
 
 `encoded` gives the ids and, if asked, where each token begins and ends in characters. Tokens can
 hold part of a character: both parts then have the offsets of the whole character. `decoded`
@@ -23,8 +22,6 @@ from __future__ import annotations
 
 import base64
 import json
-import os
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,18 +30,11 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from .part_encoder import PATTERN, PartEncoder
 from .shared import small_batches
 
-#: Matches of the pattern whose merges the library remembers.
-REMEMBERED = 100_000
-#: Parts of texts whose ids a task keeps.
-COMMON = 50_000
-#: Characters encoded at a time: the library holds much for each token.
-AT_ONCE = 200_000
 #: Largest definition that is broadcast, in characters.
 LARGEST = 256 << 20
-#: White space in some definitions, though not all agree on it: no cut beside these.
-_UNSURE = "\x1c\x1d\x1e\x1f\x85"
 
 
 def byte_characters() -> list[str]:
@@ -135,109 +125,28 @@ class Codec:
     """A vocabulary in a task; the tokenizer itself is built when something is encoded."""
 
     def __init__(self, tokenizer_json: str) -> None:
-        self.json, self.tokenizer = tokenizer_json, None
+        made = json.loads(tokenizer_json)
+        self.pattern = made["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         back = {c: b for b, c in enumerate(byte_characters())}
-        vocabulary = json.loads(tokenizer_json)["model"]["vocab"]
+        vocabulary = made["model"]["vocab"]
         self.token_bytes = [b""] * (max(vocabulary.values(), default=-1) + 1)
         for shown, rank in vocabulary.items():
             self.token_bytes[rank] = bytes(back[c] for c in shown)
         self.lengths = np.array([len(b) for b in self.token_bytes], np.int64)
-        self.common: dict[str, bytes] = {}
-
-    def _learn(self, texts: list[str]) -> None:
-        """Ids of the parts that repeat in the first texts; most of any text is such parts."""
-        counts = Counter(p for t in texts if t for p in self.parts(t[:AT_ONCE]))
-        parts = [p for p, n in counts.most_common(COMMON) if n > 1 and len(p) < 40]
-        for at in range(0, len(parts), 2000):
-            some = parts[at : at + 2000]
-            encodings = self._built().encode_batch_fast(some, add_special_tokens=False)
-            for part, encoding in zip(some, encodings, strict=True):
-                self.common[part] = np.array(encoding.ids, np.int32).tobytes()
-
-    def _built(self):
-        if self.tokenizer is None:
-            # one task, one core
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            from tokenizers import Tokenizer
-            from tokenizers.models import BPE
-
-            made = json.loads(self.json)["model"]
-            self.tokenizer = Tokenizer.from_str(self.json)
-            self.tokenizer.model = BPE(
-                vocab=made["vocab"],
-                merges=[tuple(m) for m in made["merges"]],
-                cache_capacity=REMEMBERED,
-                ignore_merges=True,
-            )
-        return self.tokenizer
-
-    @staticmethod
-    def parts(text: str) -> list[str]:
-        """The text cut before single spaces between characters that are no white space."""
-        words = text.split(" ")
-        parts, part = [], words[0]
-        for word in words[1:]:
-            last, first = part[-1:], word[:1]
-            if (
-                first and last
-                and not (first.isspace() or last.isspace())
-                and first not in _UNSURE and last not in _UNSURE
-            ):
-                parts.append(part)
-                part = " " + word
-            else:
-                part = f"{part} {word}"
-        parts.append(part)
-        return parts
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        self.encoder = PartEncoder(lambda: self._built(tokenizer_json))
+
+    def _built(self, tokenizer_json: str):
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_str(tokenizer_json)
+        return tokenizer, Tokenizer(tokenizer.model), self.lengths
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text."""
-        if not self.common:
-            self._learn(texts)
-        # bytes of ids, or None where the next stretch that was encoded belongs
-        rows: list[list[bytes | None]] = []
-        stretches, size, out = [], 0, []
-
-        def flush() -> None:
-            nonlocal stretches, size
-            encodings = iter(self._built().encode_batch_fast(stretches, add_special_tokens=False))
-            for row in rows:
-                ids = [
-                    np.array(next(encodings).ids, np.int32).tobytes() if x is None else x
-                    for x in row
-                ]
-                out.append(np.frombuffer(b"".join(ids), np.int32))
-            rows.clear()
-            stretches, size = [], 0
-
-        get = self.common.get
-        for text in texts:
-            row: list[bytes | None] = []
-            stretch: list[str] = []
-            held = 0
-            rows.append(row)
-            for part in self.parts(text) if text else ():
-                ids = get(part)
-                if ids is None:
-                    stretch.append(part)
-                    held += len(part)
-                    if held < AT_ONCE:
-                        continue
-                if stretch:
-                    stretches.append("".join(stretch))
-                    row.append(None)
-                    size += held
-                    stretch, held = [], 0
-                if ids is not None:
-                    row.append(ids)
-            if stretch:
-                stretches.append("".join(stretch))
-                row.append(None)
-                size += held
-            if size >= AT_ONCE:
-                flush()
-        flush()
-        return out
+        if self.pattern == PATTERN:
+            return [np.frombuffer(ids, np.int32) for ids in self.encoder.encode(texts)]
+        # another pattern may match across any place, so texts go to the library whole
+        return [np.frombuffer(ids, np.int32) for ids in self.encoder.whole(texts)]
 
     def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and last (exclusive) character of each token."""
@@ -252,7 +161,7 @@ class Codec:
         return b"".join(map(self.token_bytes.__getitem__, ids.tolist()))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def codec_of(tokenizer_json: str) -> Codec:
     """One codec for all tasks of a Python worker."""
     return Codec(tokenizer_json)

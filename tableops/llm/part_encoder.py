@@ -16,16 +16,21 @@ from itertools import islice
 
 import numpy as np
 
+#: Fixed value: the pattern for which the above holds.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Parts that are remembered between calls; beyond, those not met again are forgotten.
-REMEMBERED = 250_000
+REMEMBERED = 200_000
 #: Longest part that stays remembered when others are forgotten, in characters.
 SHORT = 64
 #: Marks that the pattern keeps apart from a letter or digit before them.
 MARKS = ".,;:!?"
 #: Parts encoded in one call of the library.
-LINES = 4000
-#: Characters given to the library at a time: it holds much for each token.
-AT_ONCE = 200_000
+TOGETHER = 4000
+#: The byte character of a space.
+SPACE = "\u0120"
+#: Characters of the texts looked at together, and of those given to the library at a time, which
+#: holds much for each token.
+AT_ONCE = 400_000
 #: White space in some definitions, though not all agree on it: no cut beside these.
 UNSURE = "\x1c\x1d\x1e\x1f\x85"
 
@@ -33,19 +38,24 @@ UNSURE = "\x1c\x1d\x1e\x1f\x85"
 class PartEncoder:
     """Ids of texts as little-endian 32-bit integers in bytes; one for a Python worker.
 
-    `built` makes the tokenizer when it is first needed. A null or empty text has no ids.
+    `built` gives, when first needed, the tokenizer, one of the same model that takes matches in
+    byte characters as they are, and the bytes of each id. A null or empty text has no ids.
     """
 
-    def __init__(self, built: Callable[[], object]) -> None:
+    def __init__(self, built: Callable[[], tuple]) -> None:
         self._make, self._tokenizer = built, None
         self._known: dict[str, bytes] = {}
         self._again: set[str] = set()
 
-    def _library(self, texts: list[str]) -> list[bytes]:
+    def _build(self) -> None:
         if self._tokenizer is None:
             # one task, one core
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            self._tokenizer = self._make()
+            self._tokenizer, self._words, self._lengths = self._make()
+            self._make = None
+            self._feed = self._library(["\n"])[0]
+
+    def _library(self, texts: list[str]) -> list[bytes]:
         encodings = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.int32).tobytes() for e in encodings]
 
@@ -59,48 +69,60 @@ class PartEncoder:
         return not (first.isspace() or last.isspace() or first in UNSURE or last in UNSURE)
 
     def _learn(self, parts: set[str]) -> None:
-        """Remember the parts that can be encoded alone, many to one call of the library.
-
-        They stand on lines of their own: none holds a line feed but at its start, and the id of
-        a line feed between two words occurs nowhere else.
-        """
+        """Remember the parts that can be encoded alone."""
         known = self._known
         fresh = {p for p in parts if self._safe(p)}
         # a mark after a letter or digit is a match of its own, so only the word is new
         marked = [p for p in fresh if p[-1] in MARKS and p[-2:-1].isalnum() and p[-2] < "\u0250"]
         fresh.difference_update(marked)
-        words = {p[:-1] for p in marked}
-        fresh |= words.difference(known)
-        spaced = [p for p in fresh if p[0] != "\n"]
-        opening = [p for p in fresh if p[0] == "\n"]
-        for some, first in ((spaced, " "), (opening, "")):
-            for at in range(0, len(some), LINES):
-                self._learn_lines(some[at : at + LINES], first)
+        fresh |= {p[:-1] for p in marked}.difference(known)
+        words, others = [], []
+        for part in fresh:
+            plain = part.isascii() and (part.isalpha() or part[1:].isalpha() and part[0] == "\n")
+            (words if plain else others).append(part)
+        for at in range(0, len(words), TOGETHER):
+            self._learn_words(words[at : at + TOGETHER])
+        for at in range(0, len(others), TOGETHER):
+            some = others[at : at + TOGETHER]
+            coded = self._library([p if p[0] == "\n" else " " + p for p in some])
+            known.update(zip(some, coded, strict=True))
         ends = {m: self._library(["a" + m])[0][4:] for m in {p[-1] for p in marked}}
         known.update((p, known[p[:-1]] + ends[p[-1]]) for p in marked)
 
-    def _learn_lines(self, parts: list[str], first: str) -> None:
-        if not first:
-            parts = sorted(parts)
-            if parts[0] == "\n":
-                self._known["\n"] = self._library(["\n"])[0]
-                parts = parts[1:]
-            lines = "".join(parts)
-        else:
-            lines = "\n " + "\n ".join(parts)
-        ids = np.frombuffer(self._library([lines])[0], np.int32) if parts else np.empty(0, np.int32)
-        if not len(ids):
-            return
-        starts = np.flatnonzero(ids == ids[0])
-        assert len(starts) == len(parts)
-        raw, skip = ids.tobytes(), 4 if first else 0
-        at = (starts * 4).tolist() + [len(raw)]
-        known = self._known
+    def _learn_words(self, parts: list[str]) -> None:
+        """Of ASCII letters alone: one match each, so the pattern needn't be looked for.
+
+        They go to the model as a list of matches; the bytes of its tokens tell which are whose.
+        """
+        matches = [p[1:] if p[0] == "\n" else SPACE + p for p in parts]
+        encoded = self._words.encode_batch_fast([matches], is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(encoded[0].ids, np.int32)
+        ends = np.searchsorted(
+            np.cumsum(self._lengths[ids]), np.cumsum(np.fromiter(map(len, matches), np.int64))
+        )
+        raw, at = ids.tobytes(), [0, *((ends + 1) * 4).tolist()]
+        known, feed = self._known, self._feed
         for part, a, b in zip(parts, at, at[1:], strict=False):
-            known[part] = raw[a + skip : b]
+            known[part] = feed + raw[a:b] if part[0] == "\n" else raw[a:b]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text."""
+        self._build()
+        out, at = [], 0
+        while at < len(texts):
+            first, held = at, 0
+            while at < len(texts) and (at == first or held < AT_ONCE):
+                held += len(texts[at] or "")
+                at += 1
+            out += self._encode(texts[first:at])
+        return out
+
+    def whole(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text, which the library gets as it is."""
+        self._build()
+        return [self._library([text])[0] if text else b"" for text in texts]
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         rows: list[list[str] | None] = []
         unknown: set[str] = set()
         known = self._known
