@@ -10,6 +10,8 @@ training documents the network has not seen.
 
 Training: a label says that some window of a text is toxic, or that none is. Of a toxic text the
 window that scores highest counts as toxic; of any other the highest and some by chance as not.
+The sampled documents are read whole, in tasks: windows to learn from are chosen by their words'
+evidence over the whole text, and the calibration sees all windows.
 
 The projections of a word's inputs to all gates are computed once per distinct word, so what a
 task does per token is the recurrence alone, on many windows at once.
@@ -29,15 +31,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import small_batches
+from .shared import small_batches, written
 
 #: Tokens of a window and step between windows.
 WINDOW, STEP = 24, 12
 #: Sizes: embeddings, states of each direction, attention; hashed trigrams; least word count.
 INPUT, STATE, ATTENTION = 16, 12, 8
 TRIGRAMS, LEAST = 4096, 4
-#: Bound on the labelled documents that training reads, of each label, and windows of one.
-SAMPLE, SAMPLE_WINDOWS = 1500, 60
+#: Bound on the labelled documents that training reads, of each label.
+SAMPLE = 1500
 #: Weight decay, and share of tokens left out of a training window.
 DECAY, DROPOUT = 1e-3, 0.2
 #: A document is toxic from this score on.
@@ -317,66 +319,79 @@ class Scorer:
         return self.model.score(best, count)
 
 
-def _window_ids(words: list[str], known: dict[str, int]) -> np.ndarray:
-    n = len(window_starts(len(words)))
-    codes = np.full((n - 1) * STEP + WINDOW, -1, np.int64)
-    codes[: len(words)] = [known[w] for w in words]
-    return codes[np.arange(n)[:, None] * STEP + np.arange(WINDOW)]
+def windows_of(words: list[str]) -> list[list[str]]:
+    """All windows; the last may be short, and a text without words has one of none."""
+    return [words[at : at + WINDOW] for at in window_starts(len(words))]
 
 
-def _evidence(texts: list[list[str]], labels: np.ndarray) -> dict[str, float]:
-    """How much more often than by chance a word stands in toxic texts, in standard deviations."""
-    share = float(labels.mean())
-    seen: dict[str, list[float]] = {}
-    for words, label in zip(texts, labels.tolist(), strict=True):
-        for w in set(words):
-            n = seen.setdefault(w, [0.0, 0.0])
-            n[0] += 1
-            n[1] += label
-    return {w: (k - n * share) / np.sqrt(n * share * (1 - share) + 1) for w, (n, k) in seen.items()}
+def calibrates(id_: object) -> bool:
+    """A fifth of the sampled documents, by hash, is kept from the network for the calibration."""
+    return zlib.crc32(f"fold:{id_}".encode()) % 5 == 0
+
 
+def bare(word: str) -> str:
+    return word.strip(_MARKS)
 
-def train(rows: list[tuple], rounds: int = 4, batches: int = 60, seed: int = 7):
-    """Network and calibration from (id, text, label); the same rows give the same model.
 
-    A fourth field is the number of labelled rows that a row stands for, 1 without it. It weighs
-    the calibration, so that scores are chances among all labelled rows, not among the sample.
+def count_words(rows: Iterator[tuple]) -> dict[str, list[int]]:
+    """Of each word: documents, documents the network learns from, and toxic ones among these."""
+    counts: dict[str, list[int]] = {}
+    for id_, text, label in rows:
+        learns = not calibrates(id_)
+        for w in {bare(w) for w in tokens(text)}:
+            n = counts.setdefault(w, [0, 0, 0])
+            n[0] += 1
+            n[1] += learns
+            n[2] += learns and label
+    return counts
+
 
-    Windows to learn from are, for each text, those with the words of most evidence and some by
-    chance; the network then chooses among them, round by round.
+def evidence_of(counts: dict[str, list[int]], share: float) -> dict[str, float]:
+    """How much more often than by chance a word stands in toxic texts, in standard deviations.
+
+    Of words in at least LEAST sampled documents.
     """
-    rows = sorted(rows, key=lambda r: zlib.crc32(f"order:{r[0]}".encode()))
-    labels = np.array([r[2] for r in rows], np.float32)
-    stands = np.array([r[3] if len(r) > 3 else 1.0 for r in rows])
-    if not len(rows) or labels.min() == labels.max():
-        return Model(None, np.zeros(3), float(labels.mean()) if len(rows) else 0.0)
+    return {
+        w: (k - n * share) / float(np.sqrt(n * share * (1 - share) + 1))
+        for w, (every, n, k) in counts.items() if w and every >= LEAST
+    }
+
+
+def chosen_windows(id_: object, text: str | None, evidence: dict[str, float]) -> list[list[str]]:
+    """Windows of a whole text to learn from: those with the words of most evidence, and some by
+    chance."""
+    words = tokens(text)
+    strength = np.full(len(window_starts(len(words))) * STEP + WINDOW, -9.0)
+    strength[: len(words)] = [evidence.get(bare(w), 0.0) for w in words]
+    best = np.lib.stride_tricks.sliding_window_view(strength, WINDOW)[::STEP].max(axis=1)
+    best = best[: len(window_starts(len(words)))]
+    rng = np.random.default_rng(zlib.crc32(f"windows:{id_}".encode()))
+    some = rng.choice(len(best), min(len(best), 4), replace=False)
+    picked = sorted({*np.argsort(-best, kind="stable")[:4].tolist(), *some.tolist()})
+    return [words[i * STEP : i * STEP + WINDOW] for i in picked]
+
+
+def fit(
+    examples: list[tuple], evidence: dict[str, float], rounds: int = 4, batches: int = 60, seed: int = 7
+) -> Network:
+    """The network from (id, label, windows); the same examples give the same network.
+
+    Round by round the network chooses among the windows of a text.
+    """
+    examples = sorted(examples, key=lambda r: (zlib.crc32(f"order:{r[0]}".encode()), str(r[0])))
+    labels = np.array([r[1] for r in examples], np.float32)
     rng = np.random.default_rng(seed)
-    texts = [tokens(r[1]) for r in rows]
-    bare = [[w.strip(_MARKS) for w in t] for t in texts]
-    fold = np.arange(len(rows)) % 5 == 0  # these calibrate
-    inside = np.flatnonzero(~fold)
-    counts: dict[str, int] = {}
-    for words in bare:
-        for w in set(words):
-            counts[w] = counts.get(w, 0) + 1
-    frequent = sorted(w for w, n in counts.items() if n >= LEAST and w)
-    network = Network({w: i for i, w in enumerate(frequent)}, rng)
+    network = Network({w: i for i, w in enumerate(sorted(evidence))}, rng)
     adam = Adam(network.p, 0.015)
-    vocabulary = sorted({w for t in texts for w in t})
+    vocabulary = sorted({w for r in examples for window in r[2] for w in window})
     known = {w: i for i, w in enumerate(vocabulary)}
     lexicon = Lexicon(vocabulary, network.words)
-    evidence = _evidence([bare[i] for i in inside], labels[inside])
-    strength = np.array([evidence.get(w.strip(_MARKS), 0.0) for w in vocabulary] + [-9.0])
-    every, owner = [], []
-    for i in inside.tolist():
-        windows = _window_ids(texts[i], known)
-        top = np.argsort(-strength[windows].max(axis=1), kind="stable")[:4]
-        some = rng.choice(len(windows), min(len(windows), 4), replace=False)
-        chosen = windows[np.unique(np.concatenate([top, some]))]
-        every.append(chosen)
-        owner.append(np.full(len(chosen), i))
-    first = np.cumsum([0] + [len(w) for w in every])
-    every, owner = np.concatenate(every), np.concatenate(owner)
+    strength = np.array([evidence.get(bare(w), 0.0) for w in vocabulary] + [-9.0])
+    owner = np.repeat(np.arange(len(examples)), [len(r[2]) for r in examples])
+    every = np.full((len(owner), WINDOW), -1, np.int64)
+    for row, window in enumerate(w for r in examples for w in r[2]):
+        every[row, : len(window)] = [known[w] for w in window]
+    first = np.searchsorted(owner, np.arange(len(examples) + 1))
     rank = strength[every].max(axis=1)
     for r in range(rounds):
         if r:
@@ -385,9 +400,9 @@ def train(rows: list[tuple], rounds: int = 4, batches: int = 60, seed: int = 7):
                 [network.forward(proj, every[i : i + BATCH]) for i in range(0, len(every), BATCH)]
             )
         pos, neg = [], []
-        for k, i in enumerate(inside.tolist()):
-            own = np.arange(first[k], first[k + 1])
-            if labels[i]:
+        for i, label in enumerate(labels):
+            own = np.arange(first[i], first[i + 1])
+            if label:
                 pos.append(own[np.argmax(rank[own])])
             else:
                 neg.append(own[np.argsort(-rank[own], kind="stable")[:2]])
@@ -407,9 +422,32 @@ def train(rows: list[tuple], rounds: int = 4, batches: int = 60, seed: int = 7):
             weight = np.ones(len(pick), np.float32)
             _, g = network.gradients(words, inverse - gone, labels[owner[pick]], weight)
             adam.step(g, 0.3 if r == rounds - 1 else 1.0)
-    held = np.flatnonzero(fold)
-    best, n = Scorer(Model(network, np.zeros(3), 0.0)).windows([texts[i] for i in held])
-    share = float(np.average(labels, weights=stands))
+    return network
+
+
+def share_of(learnt: tuple[int, int]) -> float:
+    """Share of toxic among (documents, toxic ones)."""
+    return learnt[1] / learnt[0] if learnt[0] else 0.0
+
+
+def train(rows: list[tuple], rounds: int = 4, batches: int = 60) -> Model:
+    """Network and calibration from (id, text, label), or (id, text, label, stands), in this process.
+
+    `stands` is the number of labelled rows that a row stands for, 1 without it. It weighs the
+    calibration, so that scores are chances among all labelled rows, not among the sample.
+    """
+    stands = np.array([r[3] if len(r) > 3 else 1.0 for r in rows])
+    labels = np.array([r[2] for r in rows], np.float64)
+    share = float(np.average(labels, weights=stands)) if len(rows) else 0.0
+    inside = [r for r in rows if not calibrates(r[0])]
+    learnt = (len(inside), sum(r[2] for r in inside))
+    if learnt[1] in (0, learnt[0]):
+        return Model(None, np.zeros(3), share)
+    evidence = evidence_of(count_words(r[:3] for r in rows), share_of(learnt))
+    examples = [(r[0], r[2], chosen_windows(r[0], r[1], evidence)) for r in inside]
+    network = fit(examples, evidence, rounds, batches)
+    held = [i for i, r in enumerate(rows) if calibrates(r[0])]
+    best, n = Scorer(Model(network, np.zeros(3), 0.0)).windows([tokens(rows[i][1]) for i in held])
     return Model(network, _calibrate(best, n, labels[held], stands[held]), share)
 
 
@@ -420,6 +458,8 @@ def _calibrate(
 
     Weights are 1 on average, so that the penalty counts the same at every size of the input.
     """
+    if not len(y):
+        return np.array([1.0, 0.0, 0.0])
     v = stands / stands.mean()
     x = np.stack([best, np.log(windows), np.ones(len(best))], axis=1).astype(np.float64)
     w = np.array([1.0, 0.0, 0.0])
@@ -438,13 +478,11 @@ def held_out(id_: Column) -> Column:
     return F.crc32(F.coalesce(id_.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def sample(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> list[tuple]:
-    """At most `bound` labelled documents of each label, by hash of the id; long ones in part.
-
-    Rows are (id, text, label, number of labelled rows of its label that it stands for).
+def sampled(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> DataFrame:
+    """At most `bound` labelled documents of each label, by hash of the id: doc_id, text, toxic and
+    stands, the number of labelled rows that it stands for. One row a document, texts whole.
 
-    The ids are bounded before texts are read, and small enough to be sent to all tasks. Of a
-    document longer than SAMPLE_WINDOWS windows training sees the windows of one stretch.
+    The ids are bounded before texts are read, and small enough to be sent to all tasks.
     """
     learnt = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     held = learnt.groupBy(F.col("toxic").cast("int").alias("toxic")).count().collect()
@@ -458,20 +496,79 @@ def sample(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> list[tupl
             .limit(bound)
         )
         ids = part if ids is None else ids.unionByName(part)
-    stretch = SAMPLE_WINDOWS * STEP * 12
-    joined = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(
-        "doc_id",
-        F.substring(F.coalesce("text", F.lit("")), 1, stretch).alias("text"),
-        "toxic",
-    )
+    text = F.coalesce("text", F.lit("")).alias("text")
+    joined = docs.select("doc_id", text).join(F.broadcast(ids), "doc_id")
     one = joined.groupBy("doc_id").agg(F.min(F.struct("text", "toxic")).alias("row"))
-    rows = one.select("doc_id", "row.text", "row.toxic").toArrow().to_pylist()
-    return [(r["doc_id"], r["text"], r["toxic"], stands[r["toxic"]]) for r in rows]
+    weight = F.when(F.col("row.toxic") == 1, stands.get(1, 1.0)).otherwise(stands.get(0, 1.0))
+    return one.select("doc_id", "row.text", "row.toxic", weight.cast("double").alias("stands"))
+
+
+def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
+    """What `train` gives for the sampled rows, with everything that reads texts done in tasks.
+
+    Only counts of words in at least LEAST of the sampled documents, at most 8 windows of 24 words
+    a document and the two figures of the calibration come to the driver.
+    """
+    rows = written(sampled(docs, labels, bound), "sample")
+    counts = rows.groupBy("toxic", "stands", "doc_id").count().drop("count")
+    seen = counts.select("doc_id", "toxic", "stands").toArrow().to_pylist()
+    weight = sum(r["stands"] for r in seen)
+    share = sum(r["stands"] * r["toxic"] for r in seen) / weight if seen else 0.0
+    inside = [r["toxic"] for r in seen if not calibrates(r["doc_id"])]
+    if sum(inside) in (0, len(inside)):
+        return Model(None, np.zeros(3), share)
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = count_words(zip(frame["doc_id"], frame["text"], frame["toxic"], strict=True))
+            yield pd.DataFrame(
+                [(w, *n) for w, n in found.items()], columns=["word", "every", "inside", "hits"]
+            )
+
+    words = (
+        rows.mapInPandas(count, "word string, every long, inside long, hits long")
+        .groupBy("word").agg(*[F.sum(c).alias(c) for c in ("every", "inside", "hits")])
+        .where(F.col("every") >= LEAST)
+    )
+    found = {r["word"]: [r["every"], r["inside"], r["hits"]] for r in words.toArrow().to_pylist()}
+    evidence = evidence_of(found, share_of((len(inside), sum(inside))))
+    shared = rows.sparkSession.sparkContext.broadcast(evidence)
+
+    def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            kept = frame[[not calibrates(i) for i in frame["doc_id"]]]
+            windows = [
+                chosen_windows(i, t, shared.value)
+                for i, t in zip(kept["doc_id"], kept["text"], strict=True)
+            ]
+            yield pd.DataFrame({"doc_id": kept["doc_id"], "toxic": kept["toxic"], "windows": windows})
+
+    examples = rows.mapInPandas(choose, "doc_id long, toxic int, windows array<array<string>>")
+    network = fit(
+        [(r["doc_id"], r["toxic"], r["windows"]) for r in examples.toArrow().to_pylist()], evidence
+    )
+    unfinished = Model(network, np.zeros(3), 0.0)
+
+    def rate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(unfinished)
+        for frame in frames:
+            held = frame[[calibrates(i) for i in frame["doc_id"]]]
+            best, n = scorer.windows([tokens(t) for t in held["text"]])
+            columns = held[["doc_id", "toxic", "stands"]]
+            yield columns.assign(best=best.astype(np.float64), n=n)
+
+    schema = "doc_id long, toxic int, stands double, best double, n long"
+    held = sorted(rows.mapInPandas(rate, schema).toArrow().to_pylist(), key=lambda r: r["doc_id"])
+    best, n, y, stands = (
+        np.array([r[c] for r in held], np.float64) for c in ("best", "n", "toxic", "stands")
+    )
+    return Model(network, _calibrate(best, n, y, stands), share)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, text: Column, bound: int = SAMPLE) -> Column:
     """Column of scores for `text`, learnt from labelled rows of docs."""
-    return scores(text, train(sample(docs, labels, bound)))
+    small_batches()
+    return scores(text, learn(docs, labels, bound))
 
 
 def scores(text: Column, model: Model) -> Column:

@@ -352,7 +352,7 @@ def test_toxicity_sample_weighs_labels(spark):
     """Both labels bounded to the same number still calibrate to the share among all labels."""
     docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
     labels = docs.select("doc_id", (F.col("doc_id") % 10 == 0).cast("int").alias("toxic"))
-    rows = toxicity.sample(docs, labels, bound=30)
+    rows = [tuple(r) for r in toxicity.sampled(docs, labels, bound=30).collect()]
     learnt = labels.where(~toxicity.held_out(F.col("doc_id")))
     for label in (0, 1):
         own = [r[3] for r in rows if r[2] == label]
@@ -364,23 +364,105 @@ def test_toxicity_sample_weighs_labels(spark):
     assert 1 / (1 + np.exp(-w[2])) == pytest.approx(np.average(y, weights=stands), abs=0.01)
 
 
-def test_toxicity_sample_sends_one_row_per_document(spark, monkeypatch):
+def test_toxicity_sample_has_one_row_per_document(spark):
     ids = spark.range(40).select(F.col("id").alias("doc_id"))
     text = F.concat(F.lit("text "), F.col("n").cast("string"))
     docs = ids.crossJoin(spark.range(5).select(F.col("id").alias("n"))).select(
         "doc_id", text.alias("text")
     )
     labels = ids.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
-    sent, to_arrow = [], type(docs).toArrow
-
-    def counted(df):
-        sent.append(to_arrow(df))
-        return sent[-1]
-
-    monkeypatch.setattr(type(docs), "toArrow", counted)
-    rows = toxicity.sample(docs, labels)
-    assert sum(t.num_rows for t in sent) == len({r[0] for r in rows}) == len(rows) > 0
-    assert {r[1] for r in rows} == {"text 0"}
+    rows = toxicity.sampled(docs, labels).collect()
+    assert len({r["doc_id"] for r in rows}) == len(rows) > 0
+    assert {r["text"] for r in rows} == {"text 0"}
+
+
+def plain_logit(network, window):
+    """One window, word by word and state by state."""
+    p, size = network.p, toxicity.STATE
+
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-x))
+
+    inputs = []
+    for word in window:
+        own = word.strip(".,;:!?")
+        lexicon = toxicity.Lexicon([word], network.words)
+        marks = [p["tri"][g] for g in lexicon.grams]
+        assert len(marks) == max(len(own), 1)
+        inputs.append(p["word"][network.words.get(own, len(network.words))] + sum(marks) / len(marks))
+    states = np.zeros((len(window), 2 * size))
+    for d, order in ((0, range(len(window))), (1, reversed(range(len(window))))):
+        h = np.zeros(size)
+        for t in order:
+            x, rec = inputs[t] @ p["in"][d] + p["bias"][d], p["rec"][d]
+            z = sigmoid(x[:size] + h @ rec[:, :size])
+            r = sigmoid(x[size : 2 * size] + h @ rec[:, size : 2 * size])
+            new = np.tanh(x[2 * size :] + r * (h @ rec[:, 2 * size :]))
+            h = z * h + (1 - z) * new
+            states[t, d * size : (d + 1) * size] = h
+    weights = np.exp([np.tanh(s @ p["att"] + p["attb"]) @ p["attv"] for s in states])
+    pooled = sum(w * s for w, s in zip(weights, states, strict=True)) / weights.sum()
+    return float(pooled @ p["out"] + p["outb"][0])
+
+
+def test_toxicity_scores_against_plain_loops():
+    model = toxicity.train(toxic_rows(200), rounds=2, batches=30)
+    long_ = [r[1] for r in toxic_rows(12, seed=3)] + ["vile, " * 61, "one"]
+    for text, score in zip(long_, toxicity.Scorer(model).score(long_), strict=True):
+        words = text.lower().split()
+        windows = [words[at : at + 24] for at in range(0, max(1, len(words) - 12), 12)]
+        best = max(plain_logit(model.network, w) for w in windows)
+        a, b, c = model.calibration
+        assert score == pytest.approx(1 / (1 + np.exp(-(a * best + b * np.log(len(windows)) + c))), abs=1e-4)
+
+
+def test_toxicity_calibration_against_plain_steps():
+    rng = np.random.default_rng(1)
+    x, n = rng.normal(size=200), rng.integers(1, 50, 200)
+    y = (x + rng.normal(size=200) > 0.5).astype(float)
+    stands = rng.uniform(1, 9, 200)
+    w = toxicity._calibrate(x, n, y, stands)
+
+    def loss(w):
+        p = 1 / (1 + np.exp(-(w[0] * x + w[1] * np.log(n) + w[2])))
+        fit = -(stands / stands.mean() * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum()
+        return fit + 0.5 * ((w[0] - 1) ** 2 + w[1] ** 2 + 0.01 * w[2] ** 2)
+
+    for k in range(3):
+        for d in (-0.01, 0.01):
+            other = w.copy()
+            other[k] += d
+            assert loss(other) > loss(w)
+    assert toxicity._calibrate(x[:0], n[:0], y[:0], stands[:0]).tolist() == [1, 0, 0]
+
+
+def test_toxicity_windows_come_from_the_whole_text():
+    text = "word1 " * 30_000 + "vile " + "word2 " * 30_000
+    windows = toxicity.chosen_windows(1, text, {"vile": 5.0, "word1": 0.1})
+    assert 4 <= len(windows) <= 8 and sum("vile" in w for w in windows) == 2
+    assert toxicity.chosen_windows(1, None, {}) == [[]] and toxicity.windows_of([]) == [[]]
+    assert toxicity.windows_of(["a"] * 30) == [["a"] * 24, ["a"] * 18]
+
+
+def test_toxicity_in_tasks_equals_plain(spark):
+    """Learning as Spark jobs from odd tables: null ids and texts, repeated rows, clashing columns."""
+    rows = [(i, t, 1, "x") for i, t, _ in toxic_rows(160)] + [(None, "vile", 1, "x"), (5, None, 1, "x")]
+    rows += rows[:20]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int, stands string").repartition(4)
+    labels = spark.createDataFrame(
+        [(i, k) for i, _, k in toxic_rows(160)] + [(None, 1), (7, None)], "doc_id long, toxic int"
+    )
+    plain = [tuple(r) for r in toxicity.sampled(docs, labels, 100).collect()]
+    assert len({r[0] for r in plain}) == len(plain) > 80
+    ours, theirs = toxicity.learn(docs, labels, 100), toxicity.train(plain)
+    texts = [r[1] for r in toxic_rows(40, seed=9)] + [None, "", LONG]
+    np.testing.assert_allclose(toxicity.Scorer(ours).score(texts), toxicity.Scorer(theirs).score(texts), atol=1e-9)
+    scored = docs.withColumn("score", toxicity.toxicity(docs, labels, F.col("text"), 100)).collect()
+    assert len(scored) == len(rows) and all(0 <= r["score"] <= 1 for r in scored)
+    for empty in (docs.limit(0), docs):
+        none = toxicity.toxicity(empty, labels.limit(0), F.col("text"))
+        assert {r[0] for r in docs.select(none).collect()} == {0.0}
+    assert docs.limit(0).select(toxicity.toxicity(docs, labels, F.col("text"), 100)).collect() == []
 
 
 def test_toxicity_without_labels():

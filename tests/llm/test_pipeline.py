@@ -26,7 +26,8 @@ def test_stages(spark, tmp_path):
         ids = [r["doc_id"] for r in after.select("doc_id").collect()]
         if name == "toxicity":
             labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
-            scorer = toxicity.Scorer(toxicity.train(toxicity.sample(docs, labels)))
+            sample = [tuple(r) for r in toxicity.sampled(docs, labels).collect()]
+            scorer = toxicity.Scorer(toxicity.train(sample))
             keep = [i for i, r in rows.items() if scorer.score([r["text"]])[0] < toxicity.THRESHOLD]
         elif name == "exact_dedup":
             best = {}
@@ -85,5 +86,6 @@ def test_queries_carry_their_columns():
     assert sorted(queries.QUERIES, key=lambda q: int(q[2:].split("_")[0])) == [
         "op1_token_counts", "op2_chat_format", "op3_mixing", "op4_lm_scoring", "op5_byte_bpe",
         "op6_toxicity", "op7_simhash", "op8_exact_dedup", "op9_pii", "op10_embedding_dedup",
+        "op11_best_fit_packing", "op12_merkle_manifest", "op13_periodic_runs",
     ]
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
