@@ -31,7 +31,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from .part_encoder import PATTERN, PartEncoder
-from .shared import small_batches
+from .shared import give_back, small_batches
 
 #: Largest definition that is broadcast, in characters.
 LARGEST = 256 << 20
@@ -186,6 +186,22 @@ class ByteBpe:
             codec = codec_of(shared.value)
             for texts in batches:
                 yield pd.Series(codec.encode(texts.tolist()), dtype=object)
+            give_back()
+
+        return of(text)
+
+    def round_trip(self, text: Column) -> Column:
+        """Struct of the ids and the bytes they decode to, in one pass over the texts."""
+        shared = self._definition
+
+        @F.pandas_udf("ids array<int>, decoded binary")
+        def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            codec = codec_of(shared.value)
+            for texts in batches:
+                ids = codec.encode(texts.tolist())
+                decoded = pd.Series([codec.decode(i) for i in ids], dtype=object)
+                yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": decoded})
+            give_back()
 
         return of(text)
 

@@ -286,12 +286,12 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     bpe = ByteBpe(
         docs.sparkSession, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     )
-    coded = docs.select("doc_id", bpe.encoded(F.col("text")).alias("ids"))
+    coded = docs.select("doc_id", bpe.round_trip(F.col("text")).alias("coded"))
     return coded.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(bpe.decoded(F.col("ids")), 256).alias("decoded_sha256"),
+        F.size("coded.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("coded.ids", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import uuid
 import weakref
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,5 +89,15 @@ def small_batches() -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task's texts.
+
+    Python workers are used again by the operators that follow, and would else keep it.
+    """
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def cores(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import small_batches, written
+from .shared import give_back, small_batches, written
 
 #: Tokens of a window and step between windows.
 WINDOW, STEP = 24, 12
@@ -582,5 +582,6 @@ def scores(text: Column, model: Model) -> Column:
                 scorer.score(texts.iloc[i : i + 500].tolist()) for i in range(0, len(texts), 500)
             ]
             yield pd.Series(np.concatenate(parts) if parts else [], dtype="float64")
+        give_back()
 
     return of(text)

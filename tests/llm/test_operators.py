@@ -275,10 +275,12 @@ def test_bpe_columns(spark, docs, no_docs):
         return df.select("text", bpe.encoded(F.col("text")).alias("ids")).select(
             "text", "ids", bpe.decoded(F.col("ids")).alias("back"),
             bpe.offsets(F.col("text"), F.col("ids")).alias("at"),
+            bpe.round_trip(F.col("text")).alias("both"),
         )
 
     for r in coded(docs).collect():
         assert bytes(r["back"]) == (r["text"] or "").encode() and len(r["at"]) == len(r["ids"])
+        assert r["both"]["ids"] == r["ids"] and r["both"]["decoded"] == r["back"]
     assert coded(no_docs).collect() == []
     null = spark.createDataFrame([(None,)], "ids array<int>")
     assert bytes(null.select(bpe.decoded(F.col("ids"))).first()[0]) == b""
