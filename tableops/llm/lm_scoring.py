@@ -1,31 +1,34 @@
 """LM scoring: cross-entropy difference of two matched word-bigram models.
 
 A target corpus says what text is wanted; the documents are the background. Both models have one
-vocabulary, one order and one smoothing:
+vocabulary, all words of both corpora, one order and one smoothing:
 
     p(w | h) = (c(h, w) + MU * p(w)) / (c(h) + MU),   p(w) = (c(w) + 1) / (N + V)
 
 and the score of a document is the mean over its tokens of ln p_background - ln p_target, negated:
 the target's loss less the background's. Lower is more like the target.
 
-The vocabulary is all words of at least c occurrences in both corpora together, with the smallest
-c that leaves no more than `vocabulary` words; all others are one unknown word. It is the bound on
-what is sent to all tasks. Bigrams have no bound and are never in one place:
+Neither words nor bigrams are bounded, and neither are ever in one place:
 
-1. Words are counted over all texts, summed in each task before the shuffle.
-2. Texts become ids, in blocks of about `BLOCK` tokens, written once.
-3. Each block counts its distinct bigrams and sends them to buckets, as many as the number of
-   tokens asks for. A bigram that is in all texts is one entry per block there.
-4. Each bucket adds up what it has and answers every block with the totals of its bigrams.
-5. Each block scores its documents with the answers.
+1. Texts are put into blocks of about `BLOCK` tokens, written once: the block's words with their
+   counts, and its tokens as places in that list.
+2. Each block sends its words to buckets by hash. A bucket adds up the counts of its words, numbers
+   them, and answers each block with numbers and totals, in the order of its words.
+3. Each block numbers its bigrams and sends the distinct ones to buckets; these answer alike.
+4. Each block scores its documents with the answers.
+
+What is in all texts, word or bigram, is one entry per block, so nothing is hot. A number has 32
+bits: the job fails, rather than leave words out, where a bucket has more words than these allow.
 
 Words are runs of anything but ASCII white space, A-Z in lower case. The first word follows a
 start mark. Null and empty texts have no tokens and score 0. Repeated rows count and score each.
-Without a target all its counts are 0; an empty background gives an empty result.
+Without a target all its counts are 0; an empty background gives an empty result. Other columns
+are ignored.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,15 +39,25 @@ from pyspark.sql import functions as F
 
 from .shared import cores, small_batches, written
 
-#: Words of the vocabulary at most, so that ids with the two marks fit 16 bits.
-VOCABULARY = 65_534
-UNKNOWN, START = 0, 1
 #: Weight of the unigram model in the smoothing, in occurrences.
 MU = 100.0
-#: Tokens of a block, and entries that a bucket gets, on average at most.
-BLOCK, BUCKET = 1 << 20, 4_000_000
-#: Distinct words that a task counts before it passes the counts on.
-COUNTED = 400_000
+#: Tokens of a block, and of all blocks for each bucket of words or bigrams.
+BLOCK, BUCKET = 1 << 21, 4_000_000
+#: Number of the mark at the start of a text.
+START = np.uint64(0xFFFFFFFF)
+
+BLOCKS = (
+    "block long, target boolean, doc_ids array<long>, lengths binary, words binary, n binary,"
+    " contexts binary, tokens binary, opened long"
+)
+WORDS = "bucket int, block long, target boolean, words binary, n binary, contexts binary"
+#: What buckets answer: of words numbers and totals, of bigrams totals; `distinct` and the sums of
+#: tokens and texts stand in one row of each bucket of words.
+ANSWERS = (
+    "kind string, bucket int, block long, numbers binary, background binary, goal binary,"
+    " background_contexts binary, goal_contexts binary, distinct long, tokens long, goal_tokens long"
+)
+BIGRAMS = "bucket int, block long, target boolean, keys binary, n binary"
 
 
 def words(text: str | None) -> list[bytes]:
@@ -52,231 +65,222 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts: tuple[dict, dict] = ({}, {})
+def _ints(raw: bytes, kind: str = "<u4") -> np.ndarray:
+    return np.frombuffer(raw, kind)
 
-    def flush() -> Iterator[pd.DataFrame]:
-        keys = list({*counts[0], *counts[1]})
-        for at in range(0, len(keys), 50_000):
-            part = keys[at : at + 50_000]
-            yield pd.DataFrame(
-                {
-                    "word": [w.decode("utf-8", "surrogatepass") for w in part],
-                    "background": [counts[0].get(w, 0) for w in part],
-                    "target": [counts[1].get(w, 0) for w in part],
-                }
-            )
-        counts[0].clear()
-        counts[1].clear()
 
-    for frame in frames:
-        for text, target in zip(frame["text"], frame["target"], strict=True):
-            own = counts[int(target)]
-            for w in words(text):
-                own[w] = own.get(w, 0) + 1
-            if len(counts[0]) + len(counts[1]) > COUNTED:
-                yield from flush()
-    yield from flush()
-
-
-class Vocabulary:
-    """Words by id, and their counts in both corpora. Ids 0 and 1 are the marks."""
-
-    def __init__(self, rows: list, totals: tuple[int, int], size: int) -> None:
-        self.ids = {r["word"].encode(): i + 2 for i, r in enumerate(rows)}
-        self.size = len(rows) + 1  # with the unknown word, which can be predicted too
-        self.total = np.array(totals, np.float64)
-        self.counts = np.zeros((2, len(rows) + 2))
-        for c, name in enumerate(("background", "target")):
-            self.counts[c, 2:] = [r[name] for r in rows]
-            self.counts[c, UNKNOWN] = totals[c] - self.counts[c, 2:].sum()
-        # contexts: every token but the last of a text, and the start; filled by the blocks
-        self.unigram = (self.counts + 1) / (self.total[:, None] + self.size)
-
-
-def vocabulary(texts: DataFrame, size: int = VOCABULARY) -> Vocabulary:
-    counts = written(
-        texts.mapInPandas(_counted, "word string, background long, target long")
-        .groupBy("word")
-        .agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-        .withColumn("n", F.col("background") + F.col("target")),
-        "words",
-    )
-    sums = counts.agg(F.sum("background"), F.sum("target")).first()
-    # how many words have each count: there are few different counts
-    least, held = 1, 0
-    for r in counts.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
-        if held + r["count"] > size:
-            least = r["n"] + 1
-            break
-        held += r["count"]
-    kept = counts.where(F.col("n") >= least).select("word", "background", "target")
-    rows = sorted(kept.toArrow().to_pylist(), key=lambda r: r["word"])
-    return Vocabulary(rows, (sums[0] or 0, sums[1] or 0), size)
-
-
-def _encoded(shared) -> callable:
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        get = shared.value.ids.get
-        first, number = TaskContext.get().partitionId() << 32, 0
-        ids, lengths, names, size, kind = [], [], [], 0, None
-
-        def flush() -> Iterator[pd.DataFrame]:
-            nonlocal ids, lengths, names, size, number
-            if lengths:
-                yield pd.DataFrame(
-                    {
-                        "block": [first + number],
-                        "target": [kind],
-                        "doc_ids": [names],
-                        "lengths": [np.array(lengths, np.int64).tobytes()],
-                        "tokens": [b"".join(ids)],
-                    }
-                )
-                number += 1
-            ids, lengths, names, size = [], [], [], 0
+def _packed(values: np.ndarray, kind: str = "<u4") -> bytes:
+    return values.astype(kind).tobytes()
 
-        for frame in frames:
-            for name, text, target in zip(
-                frame["doc_id"], frame["text"], frame["target"], strict=True
-            ):
-                found = [get(w, UNKNOWN) for w in words(text)]
-                if size and (target != kind or size + len(found) > BLOCK):
-                    yield from flush()
-                kind = target
-                ids.append(np.array(found, np.uint16).tobytes())
-                lengths.append(len(found))
-                names.append(None if pd.isna(name) else int(name))
-                size += len(found) + 1
-        yield from flush()
 
-    return run
+def _factorized(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return pd.factorize(np.array([*found, None], object)[:-1])
 
 
-def _bigrams(tokens: bytes, lengths: bytes) -> np.ndarray:
-    """(context, word) of each token as one number."""
-    own = np.frombuffer(tokens, np.uint16).astype(np.uint32)
-    sizes = np.frombuffer(lengths, np.int64)
-    context = np.empty_like(own)
-    context[1:] = own[:-1]
-    begins = (np.cumsum(sizes) - sizes)[sizes > 0]
-    context[begins] = START
-    return (context << np.uint32(16)) | own
+def _blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    first, number = TaskContext.get().partitionId() << 32, 0
+    found, lengths, names, kind = [], [], [], None
 
+    def block() -> pd.DataFrame:
+        codes, unique = _factorized(found)
+        n = np.bincount(codes, minlength=len(unique))
+        # the most frequent first, so that most places are small numbers
+        order = np.argsort(-n, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        codes, n = place[codes], n[order]
+        sizes = np.array(lengths, np.int64)
+        last = (np.cumsum(sizes) - 1)[sizes > 0]
+        contexts = n - np.bincount(codes[last], minlength=len(n))
+        row = (
+            first + number, kind, names, sizes.tobytes(), b"\n".join(unique[order].tolist()),
+            _packed(n), _packed(contexts), _packed(codes), len(last),
+        )
+        return pd.DataFrame([row], columns=[c.split()[0] for c in BLOCKS.split(", ")])
 
-def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+    for frame in frames:
+        for name, text, target in zip(frame["doc_id"], frame["text"], frame["target"], strict=True):
+            own = words(text)
+            if lengths and (target != kind or len(found) + len(lengths) + len(own) > BLOCK):
+                yield block()
+                number += 1
+                found, lengths, names = [], [], []
+            kind = bool(target)
+            found += own
+            lengths.append(len(own))
+            names.append(None if pd.isna(name) else int(name))
+    if lengths:
+        yield block()
 
 
-def _split(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order that brings the keys of a bucket together, ascending, and where each bucket begins."""
-    at = _bucket(keys, buckets)
+def _split(at: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order that brings a bucket's entries together, as they are, and where each bucket begins."""
     order = np.argsort(at, kind="stable")
     return order, np.searchsorted(at[order], np.arange(buckets + 1))
 
 
-def _sent(buckets: int):
-    """Distinct bigrams of each block, by bucket."""
+def _filled(begins: np.ndarray) -> list[int]:
+    return np.flatnonzero(np.diff(begins)).tolist()
 
+
+def _list(raw: bytes) -> list[bytes]:
+    return raw.split(b"\n") if raw else []
+
+
+def _words_split(own: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    return _split(np.fromiter((zlib.crc32(w) % buckets for w in own), np.int64, len(own)), buckets)
+
+
+def _words_sent(buckets: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for r in frame.itertuples(index=False):
-                keys, counts = np.unique(_bigrams(r.tokens, r.lengths), return_counts=True)
-                order, begins = _split(keys, buckets)
-                keys, counts = keys[order], counts[order].astype(np.uint32)
-                rows = [b for b in range(buckets) if begins[b + 1] > begins[b]]
-                for at in range(0, len(rows), 256):
-                    part = rows[at : at + 256]
-                    yield pd.DataFrame(
-                        {
-                            "bucket": part,
-                            "block": r.block,
-                            "target": r.target,
-                            "keys": [keys[begins[b] : begins[b + 1]].tobytes() for b in part],
-                            "counts": [counts[begins[b] : begins[b + 1]].tobytes() for b in part],
-                        }
-                    )
+                own, n, contexts = _list(r.words), _ints(r.n), _ints(r.contexts)
+                order, begins = _words_split(own, buckets)
+                rows = []
+                for b in _filled(begins):
+                    at = order[begins[b] : begins[b + 1]]
+                    listed = b"\n".join([own[i] for i in at.tolist()])
+                    rows.append((b, r.block, r.target, listed, n[at].tobytes(), contexts[at].tobytes()))
+                if rows:
+                    yield pd.DataFrame(rows, columns=["bucket", "block", "target", "words", "n", "contexts"])
 
     return run
 
 
-def _answered(frame: pd.DataFrame) -> pd.DataFrame:
+def _words_answered(shift: int):
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        lists = [_list(w) for w in frame["words"]]
+        codes, unique = _factorized([w for own in lists for w in own])
+        if len(unique) >= 1 << shift:
+            raise ValueError("a bucket has more words than there are numbers")
+        sizes = [len(own) for own in lists]
+        target = np.repeat(frame["target"].to_numpy(bool), sizes)
+
+        def totals(name: str) -> list[np.ndarray]:
+            each = np.concatenate([_ints(x) for x in frame[name]]).astype(np.float64)
+            sums = [np.bincount(codes, each * mask, len(unique)) for mask in (~target, target)]
+            return [x.astype(np.uint64) for x in sums]
+
+        n, contexts = totals("n"), totals("contexts")
+        bucket = int(frame["bucket"].iat[0])
+        numbers = (np.uint64(bucket) << np.uint64(shift)) | codes.astype(np.uint64)
+        out, ends = [], np.cumsum(sizes)
+        for row, (block, size, end) in enumerate(zip(frame["block"], sizes, ends, strict=True)):
+            at = codes[end - size : end]
+            sums = (len(unique), int(n[0].sum()), int(n[1].sum())) if not row else (0, 0, 0)
+            out.append(
+                ("words", bucket, block, _packed(numbers[end - size : end]),
+                 *(x[at].tobytes() for x in (*n, *contexts)), *sums)
+            )
+        return pd.DataFrame(out, columns=[c.split()[0] for c in ANSWERS.split(", ")])
+
+    return run
+
+
+class _Known:
+    """A block with the numbers and totals of its words."""
+
+    def __init__(self, row: pd.Series, answers: pd.DataFrame, buckets: int) -> None:
+        own = _list(row["words"])
+        order, begins = _words_split(own, buckets)
+        self.numbers = np.zeros(len(own), np.uint64)
+        self.totals = np.zeros((4, len(own)))
+        for a in answers[answers["kind"] == "words"].itertuples(index=False):
+            at = order[begins[a.bucket] : begins[a.bucket + 1]]
+            self.numbers[at] = _ints(a.numbers)
+            for k, x in enumerate((a.background, a.goal, a.background_contexts, a.goal_contexts)):
+                self.totals[k, at] = _ints(x, "<u8")
+        self.sizes = _ints(row["lengths"], "<i8")
+        self.tokens = _ints(row["tokens"]).astype(np.int64)
+        # the context of each token: the one before, or the start of its text
+        self.begins = (np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]
+        word = self.numbers[self.tokens]
+        context = np.empty_like(word)
+        context[1:] = word[:-1]
+        context[self.begins] = START
+        self.keys = (context << np.uint64(32)) | word
+
+
+def _bigrams_split(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    mixed = (keys ^ (keys >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+    return _split(((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64), buckets)
+
+
+def _bigrams_sent(buckets: int):
+    """Distinct bigrams of each block, ascending in each bucket, as steps from one to the next."""
+
+    def run(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, row in blocks.iterrows():
+            keys, n = np.unique(_Known(row, answers, buckets).keys, return_counts=True)
+            order, begins = _bigrams_split(keys, buckets)
+            for b in _filled(begins):
+                at = order[begins[b] : begins[b + 1]]
+                steps = np.diff(keys[at], prepend=np.uint64(0))
+                out.append((b, row["block"], row["target"], steps.tobytes(), _packed(n[at])))
+        return pd.DataFrame(out, columns=["bucket", "block", "target", "keys", "n"])
+
+    return run
+
+
+def _bigrams_answered(frame: pd.DataFrame) -> pd.DataFrame:
     """Totals of a bucket's bigrams, for each background block in the order of its keys."""
-    keys = np.concatenate([np.frombuffer(k, np.uint32) for k in frame["keys"]])
-    counts = np.concatenate([np.frombuffer(c, np.uint32) for c in frame["counts"]])
-    sizes = frame["keys"].str.len().to_numpy() // 4
+    keys = np.concatenate([np.cumsum(_ints(k, "<u8"), dtype=np.uint64) for k in frame["keys"]])
+    n = np.concatenate([_ints(c) for c in frame["n"]]).astype(np.float64)
+    sizes = frame["keys"].str.len().to_numpy() // 8
     target = np.repeat(frame["target"].to_numpy(bool), sizes)
     distinct, inverse = np.unique(keys, return_inverse=True)
     totals = [
-        np.bincount(inverse, counts * mask, len(distinct)).astype(np.uint64)[inverse]
+        np.bincount(inverse, n * mask, len(distinct)).astype(np.uint64)[inverse]
         for mask in (~target, target)
     ]
-    ends = np.cumsum(sizes)
+    bucket, ends = int(frame["bucket"].iat[0]), np.cumsum(sizes)
     out = [
-        (frame["bucket"].iloc[0], block, *(t[e - n : e].tobytes() for t in totals))
-        for block, is_target, n, e in zip(
-            frame["block"], frame["target"], sizes, ends, strict=True
-        )
+        ("bigrams", bucket, block, None, *(t[e - k : e].tobytes() for t in totals), None, None, 0, 0, 0)
+        for block, is_target, k, e in zip(frame["block"], frame["target"], sizes, ends, strict=True)
         if not is_target
     ]
-    return pd.DataFrame(out, columns=["bucket", "block", "background", "goal"])
+    return pd.DataFrame(out, columns=[c.split()[0] for c in ANSWERS.split(", ")])
 
 
-def _context_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """How often each word is a context, by corpus."""
-    sums: dict[bool, np.ndarray] = {}
-    for frame in frames:
-        for r in frame.itertuples(index=False):
-            contexts = (_bigrams(r.tokens, r.lengths) >> np.uint32(16)).astype(np.int64)
-            sums[r.target] = sums.get(r.target, 0) + np.bincount(contexts, minlength=1 << 16)
-    for target, counts in sums.items():
-        some = np.flatnonzero(counts)
-        yield pd.DataFrame({"target": target, "context": some, "n": counts[some]})
-
+def _scored(buckets: int, distinct: int, tokens: list[int], texts: list[int], mu: float):
+    names = ["doc_id", "n_tokens", "target_loss", "background_loss"]
 
-def _scored(shared, contexts, buckets: int, mu: float):
     def run(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        names = ["doc_id", "n_tokens", "target_loss", "background_loss"]
-        if not len(blocks):
-            return pd.DataFrame([], columns=names)
-        r = blocks.iloc[0]
-        sizes = np.frombuffer(r["lengths"], np.int64)
-        keys, inverse = np.unique(_bigrams(r["tokens"], r["lengths"]), return_inverse=True)
-        order, begins = _split(keys, buckets)
-        joint = np.zeros((2, len(keys)))
-        for a in answers.itertuples(index=False):
-            at = order[begins[a.bucket] : begins[a.bucket + 1]]
-            joint[0, at] = np.frombuffer(a.background, np.uint64)
-            joint[1, at] = np.frombuffer(a.goal, np.uint64)
-        context, word = (keys >> np.uint32(16)).astype(np.int64), (keys & 0xFFFF).astype(np.int64)
-        unigram = shared.value.unigram
-        losses = []
-        for c in (0, 1):
-            p = (joint[c] + mu * unigram[c][word]) / (contexts.value[c][context] + mu)
-            each = -np.log(p)[inverse]
-            sums = np.concatenate([[0.0], np.cumsum(each)])
-            ends = np.cumsum(sizes)
-            losses.append((sums[ends] - sums[ends - sizes]) / np.maximum(sizes, 1))
-        return pd.DataFrame(
-            {
-                "doc_id": pd.array([None if d is None or pd.isna(d) else int(d) for d in r["doc_ids"]], dtype="Int64"),
-                "n_tokens": sizes,
-                "target_loss": losses[1],
-                "background_loss": losses[0],
-            }
-        )
+        out = []
+        for _, row in blocks.iterrows():
+            if row["target"]:
+                continue
+            known = _Known(row, answers, buckets)
+            keys, at, inverse = np.unique(known.keys, return_index=True, return_inverse=True)
+            order, begins = _bigrams_split(keys, buckets)
+            joint = np.zeros((2, len(keys)))
+            for a in answers[answers["kind"] == "bigrams"].itertuples(index=False):
+                own = order[begins[a.bucket] : begins[a.bucket + 1]]
+                joint[0, own], joint[1, own] = _ints(a.background, "<u8"), _ints(a.goal, "<u8")
+            word = known.tokens[at]
+            opens = (keys >> np.uint64(32)) == START
+            before = known.tokens[np.maximum(at - 1, 0)]
+            losses = []
+            for c in (0, 1):
+                unigram = (known.totals[c][word] + 1) / (tokens[c] + distinct)
+                context = np.where(opens, texts[c], known.totals[2 + c][before])
+                each = -np.log((joint[c] + mu * unigram) / (context + mu))[inverse]
+                sums = np.zeros(len(known.sizes))
+                if len(each):
+                    sums[known.sizes > 0] = np.add.reduceat(each, known.begins)
+                losses.append(sums / np.maximum(known.sizes, 1))
+            ids = [None if d is None or pd.isna(d) else int(d) for d in row["doc_ids"]]
+            columns = (pd.array(ids, dtype="Int64"), known.sizes, losses[1], losses[0])
+            out.append(pd.DataFrame(dict(zip(names, columns, strict=True))))
+        return pd.concat(out) if out else pd.DataFrame([], columns=names)
 
     return run
 
 
 def cross_entropy_difference(
-    docs: DataFrame,
-    target: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    size: int = VOCABULARY,
-    mu: float = MU,
+    docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", mu: float = MU
 ) -> DataFrame:
     """One row per document: id, n_tokens, target_loss, background_loss, score (the difference).
 
@@ -284,49 +288,45 @@ def cross_entropy_difference(
     """
     spark = docs.sparkSession
     small_batches()
+    goal = F.lit(True).alias("target")
     texts = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.col(f"`{text_col}`").alias("text"),
         F.lit(False).alias("target"),
-    ).unionByName(
-        target.select(
-            F.lit(None).cast("long").alias("doc_id"), "text", F.lit(True).alias("target")
-        )
-    )
-    found = vocabulary(texts.select("text", "target"), size)
-    shared = spark.sparkContext.broadcast(found)
-    blocks = written(
-        texts.mapInPandas(
-            _encoded(shared),
-            "block long, target boolean, doc_ids array<long>, lengths binary, tokens binary",
-        ),
-        "tokens",
+    ).unionByName(target.select(F.lit(None).cast("long").alias("doc_id"), "text", goal))
+    blocks = written(texts.mapInPandas(_blocks, BLOCKS), "tokens")
+    size = F.sum(F.octet_length("tokens") / 4).cast("long").alias("tokens")
+    held = blocks.groupBy("target").agg(size, F.sum("opened").alias("opened")).collect()
+    sent = sum(r["tokens"] for r in held)
+    starts = {r["target"]: r["opened"] for r in held}
+    buckets = int(max(cores(spark), -(-sent // BUCKET)))
+    shift = 31 - (buckets - 1).bit_length()
+    answers = written(
+        blocks.select("block", "target", "words", "n", "contexts")
+        .mapInPandas(_words_sent(buckets), WORDS)
+        .groupBy("bucket")
+        .applyInPandas(_words_answered(shift), ANSWERS),
+        "words",
     )
-    contexts = np.zeros((2, 1 << 16))
-    slim = blocks.select("block", "target", "lengths", "tokens")
-    for r in (
-        slim.mapInPandas(_context_counts, "target boolean, context int, n long")
-        .groupBy("target", "context")
-        .agg(F.sum("n").alias("n"))
-        .toLocalIterator()
-    ):
-        contexts[int(r["target"]), r["context"]] = r["n"]
-    context_counts = spark.sparkContext.broadcast(contexts)
-    buckets = int(max(cores(spark), np.ceil(found.total.sum() / BUCKET)))
-    answers = (
-        slim.mapInPandas(
-            _sent(buckets), "bucket int, block long, target boolean, keys binary, counts binary"
-        )
+    sums = answers.agg(*[F.sum(c).alias(c) for c in ("distinct", "tokens", "goal_tokens")]).first()
+    by_block = blocks.groupBy("block")
+    bigrams = (
+        by_block.cogroup(answers.groupBy("block"))
+        .applyInPandas(_bigrams_sent(buckets), BIGRAMS)
         .groupBy("bucket")
-        .applyInPandas(_answered, "bucket int, block long, background binary, goal binary")
+        .applyInPandas(_bigrams_answered, ANSWERS)
+    )
+    score = _scored(
+        buckets,
+        sums["distinct"] or 0,
+        [sums["tokens"] or 0, sums["goal_tokens"] or 0],
+        [starts.get(False, 0), starts.get(True, 0)],
+        mu,
     )
     return (
-        blocks.where(~F.col("target"))
-        .groupBy("block")
-        .cogroup(answers.groupBy("block"))
+        by_block.cogroup(answers.unionByName(bigrams).groupBy("block"))
         .applyInPandas(
-            _scored(shared, context_counts, buckets, mu),
-            "doc_id long, n_tokens long, target_loss double, background_loss double",
+            score, "doc_id long, n_tokens long, target_loss double, background_loss double"
         )
         .select(
             F.col("doc_id").alias(id_col),

@@ -240,27 +240,16 @@ OP4_SQL = r"""
     tokens AS (
       SELECT text_no, doc_id, target, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM cut),
     counted AS (
-      SELECT word, count(*) AS n, count(*) FILTER (NOT target) AS b, count(*) FILTER (target) AS t
+      SELECT word, count(*) FILTER (NOT target) AS b, count(*) FILTER (target) AS t
       FROM tokens GROUP BY word),
-    sizes AS (
-      SELECT n, sum(count(*)) OVER (ORDER BY n DESC) AS held FROM counted GROUP BY n),
-    vocabulary AS (
-      SELECT word, b, t FROM counted WHERE n > coalesce(
-        (SELECT max(n) FROM sizes WHERE held > 65534), 0)),
-    totals AS (
-      SELECT sum(b) AS b, sum(t) AS t, (SELECT count(*) + 1 FROM vocabulary) AS v FROM counted),
+    totals AS (SELECT sum(b) AS b, sum(t) AS t, count(*) AS v FROM counted),
     unigrams AS (
       SELECT word, (b + 1) / CAST((SELECT b + v FROM totals) AS DOUBLE) AS b,
         (t + 1) / CAST((SELECT t + v FROM totals) AS DOUBLE) AS t
-      FROM (SELECT * FROM vocabulary UNION ALL
-            SELECT '<unknown word>', totals.b - coalesce((SELECT sum(b) FROM vocabulary), 0),
-              totals.t - coalesce((SELECT sum(t) FROM vocabulary), 0) FROM totals)),
-    known AS (
-      SELECT text_no, doc_id, target, pos, coalesce(v.word, '<unknown word>') AS word
-      FROM tokens LEFT JOIN vocabulary v USING (word)),
+      FROM counted),
     pairs AS (
       SELECT *, coalesce(lag(word) OVER (PARTITION BY text_no ORDER BY pos), '<start of text>') AS context
-      FROM known),
+      FROM tokens),
     bigrams AS (
       SELECT context, word, count(*) FILTER (NOT target) AS b, count(*) FILTER (target) AS t
       FROM pairs GROUP BY context, word),
