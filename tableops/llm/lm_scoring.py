@@ -30,9 +30,11 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,13 +44,13 @@ from .shared import cores, small_batches, written
 #: Weight of the unigram model in the smoothing, in occurrences.
 MU = 100.0
 #: Tokens of a block, and of all blocks for each bucket of words or bigrams.
-BLOCK, BUCKET = 1 << 21, 4_000_000
+BLOCK, BUCKET = 1 << 20, 4_000_000
 #: Number of the mark at the start of a text.
 START = np.uint64(0xFFFFFFFF)
 
 BLOCKS = (
     "block long, target boolean, doc_ids array<long>, lengths binary, words binary, n binary,"
-    " contexts binary, tokens binary, opened long"
+    " contexts binary, tokens binary, size long, opened long"
 )
 WORDS = "bucket int, block long, target boolean, words binary, n binary, contexts binary"
 #: What buckets answer: of words numbers and totals, of bigrams totals; `distinct` and the sums of
@@ -65,12 +67,34 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def _ints(raw: bytes, kind: str = "<u4") -> np.ndarray:
-    return np.frombuffer(raw, kind)
+@lru_cache
+def _compressor() -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=1)
+
+
+@lru_cache
+def _decompressor() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
 
 
 def _packed(values: np.ndarray, kind: str = "<u4") -> bytes:
-    return values.astype(kind).tobytes()
+    """All first bytes of the numbers, all second ones, ..., compressed: most are zero."""
+    raw = np.ascontiguousarray(values, kind)
+    return _compressor().compress(raw.view(np.uint8).reshape(-1, raw.itemsize).T.tobytes())
+
+
+def _ints(packed: bytes, kind: str = "<u4") -> np.ndarray:
+    raw = np.frombuffer(_decompressor().decompress(packed), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).reshape(-1).view(kind)
+
+
+def _listed(own: list[bytes]) -> bytes:
+    return _compressor().compress(b"\n".join(own))
+
+
+def _list(packed: bytes) -> list[bytes]:
+    raw = _decompressor().decompress(packed)
+    return raw.split(b"\n") if raw else []
 
 
 def _factorized(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -93,8 +117,8 @@ def _blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last = (np.cumsum(sizes) - 1)[sizes > 0]
         contexts = n - np.bincount(codes[last], minlength=len(n))
         row = (
-            first + number, kind, names, sizes.tobytes(), b"\n".join(unique[order].tolist()),
-            _packed(n), _packed(contexts), _packed(codes), len(last),
+            first + number, kind, names, _packed(sizes, "<i8"), _listed(unique[order].tolist()),
+            _packed(n), _packed(contexts), _packed(codes), len(codes), len(last),
         )
         return pd.DataFrame([row], columns=[c.split()[0] for c in BLOCKS.split(", ")])
 
@@ -123,10 +147,6 @@ def _filled(begins: np.ndarray) -> list[int]:
     return np.flatnonzero(np.diff(begins)).tolist()
 
 
-def _list(raw: bytes) -> list[bytes]:
-    return raw.split(b"\n") if raw else []
-
-
 def _words_split(own: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return _split(np.fromiter((zlib.crc32(w) % buckets for w in own), np.int64, len(own)), buckets)
 
@@ -140,8 +160,8 @@ def _words_sent(buckets: int):
                 rows = []
                 for b in _filled(begins):
                     at = order[begins[b] : begins[b + 1]]
-                    listed = b"\n".join([own[i] for i in at.tolist()])
-                    rows.append((b, r.block, r.target, listed, n[at].tobytes(), contexts[at].tobytes()))
+                    listed = _listed([own[i] for i in at.tolist()])
+                    rows.append((b, r.block, r.target, listed, _packed(n[at]), _packed(contexts[at])))
                 if rows:
                     yield pd.DataFrame(rows, columns=["bucket", "block", "target", "words", "n", "contexts"])
 
@@ -171,7 +191,7 @@ def _words_answered(shift: int):
             sums = (len(unique), int(n[0].sum()), int(n[1].sum())) if not row else (0, 0, 0)
             out.append(
                 ("words", bucket, block, _packed(numbers[end - size : end]),
-                 *(x[at].tobytes() for x in (*n, *contexts)), *sums)
+                 *(_packed(x[at], "<u8") for x in (*n, *contexts)), *sums)
             )
         return pd.DataFrame(out, columns=[c.split()[0] for c in ANSWERS.split(", ")])
 
@@ -218,7 +238,7 @@ def _bigrams_sent(buckets: int):
             for b in _filled(begins):
                 at = order[begins[b] : begins[b + 1]]
                 steps = np.diff(keys[at], prepend=np.uint64(0))
-                out.append((b, row["block"], row["target"], steps.tobytes(), _packed(n[at])))
+                out.append((b, row["block"], row["target"], _packed(steps, "<u8"), _packed(n[at])))
         return pd.DataFrame(out, columns=["bucket", "block", "target", "keys", "n"])
 
     return run
@@ -226,9 +246,9 @@ def _bigrams_sent(buckets: int):
 
 def _bigrams_answered(frame: pd.DataFrame) -> pd.DataFrame:
     """Totals of a bucket's bigrams, for each background block in the order of its keys."""
-    keys = np.concatenate([np.cumsum(_ints(k, "<u8"), dtype=np.uint64) for k in frame["keys"]])
+    lists = [np.cumsum(_ints(k, "<u8"), dtype=np.uint64) for k in frame["keys"]]
+    sizes, keys = [len(k) for k in lists], np.concatenate(lists)
     n = np.concatenate([_ints(c) for c in frame["n"]]).astype(np.float64)
-    sizes = frame["keys"].str.len().to_numpy() // 8
     target = np.repeat(frame["target"].to_numpy(bool), sizes)
     distinct, inverse = np.unique(keys, return_inverse=True)
     totals = [
@@ -237,7 +257,7 @@ def _bigrams_answered(frame: pd.DataFrame) -> pd.DataFrame:
     ]
     bucket, ends = int(frame["bucket"].iat[0]), np.cumsum(sizes)
     out = [
-        ("bigrams", bucket, block, None, *(t[e - k : e].tobytes() for t in totals), None, None, 0, 0, 0)
+        ("bigrams", bucket, block, None, *(_packed(t[e - k : e], "<u8") for t in totals), None, None, 0, 0, 0)
         for block, is_target, k, e in zip(frame["block"], frame["target"], sizes, ends, strict=True)
         if not is_target
     ]
@@ -295,8 +315,11 @@ def cross_entropy_difference(
         F.lit(False).alias("target"),
     ).unionByName(target.select(F.lit(None).cast("long").alias("doc_id"), "text", goal))
     blocks = written(texts.mapInPandas(_blocks, BLOCKS), "tokens")
-    size = F.sum(F.octet_length("tokens") / 4).cast("long").alias("tokens")
-    held = blocks.groupBy("target").agg(size, F.sum("opened").alias("opened")).collect()
+    held = (
+        blocks.groupBy("target")
+        .agg(F.sum("size").alias("tokens"), F.sum("opened").alias("opened"))
+        .collect()
+    )
     sent = sum(r["tokens"] for r in held)
     starts = {r["target"]: r["opened"] for r in held}
     buckets = int(max(cores(spark), -(-sent // BUCKET)))
