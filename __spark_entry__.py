@@ -24,6 +24,7 @@ from tableops import (
     daily_slices,
     normalize_nulls,
     rebuild_table,
+    recover_table,
     result_schema,
     run_script,
     run_sql,
@@ -33,6 +34,7 @@ from tableops import (
     table_schema,
     update_table,
 )
+from tableops.sources.catalog import BACKUP_SUFFIX, SWAP, TableName, rename_table, set_note
 
 ENTRY_DIR = "/root/testdata/sf0.001"
 
@@ -516,6 +518,24 @@ def update_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+def update_hit_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An update whose rows all lie in two of the partitions; the others keep their files."""
+    table = f"{scratch(spark)}.events"
+    daily_events(spark, sf_dir, table)
+    before = files_by_day(spark.table(table)).select("file").distinct()
+    before = spark.createDataFrame(before.collect(), "old_file string")
+    hit = "ts >= TIMESTAMP_NTZ '2024-01-05 00:00:00' AND ts < TIMESTAMP_NTZ '2024-01-07 00:00:00'"
+    update_table(spark, table, {"value": "value + 1", "props": "NULL"}, hit)
+    held = files_by_day(spark.table(table))
+    return held.join(before, held.file == before.old_file, "left").select(
+        "event_id", "value", "props", "day", F.col("old_file").isNull().alias("rewritten")
+    )
+
+
+def files_by_day(events: DataFrame) -> DataFrame:
+    return events.select("*", F.col("_metadata.file_name").alias("file"))
+
+
 def update_partition_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{scratch(spark)}.events"
     daily_events(spark, sf_dir, table)
@@ -536,6 +556,23 @@ def swap_tables_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def swap_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A swap left between its two renames, as by a lost process, and ended by the next call."""
+    database = scratch(spark)
+    daily_events(spark, sf_dir, f"{database}.events")
+    high = run_sql(spark, f"SELECT * FROM {database}.events WHERE value > 50")
+    save_table(spark, high, f"{database}.high", partition_by=["day"])
+    old = TableName(database, "events")
+    set_note(spark, old, SWAP, [database, "high", True])
+    rename_table(spark, old, old.with_suffix(BACKUP_SUFFIX))
+    recover_table(spark, f"{database}.events")
+    return run_sql(
+        spark,
+        f"""SELECT event_id, event_type, day, 'new' AS side FROM {database}.events
+            UNION ALL SELECT event_id, event_type, day, 'old' FROM {database}.events___old""",
+    )
+
+
 def rebuild_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     (customer,) = load(spark, sf_dir, "customer")
     table = f"{scratch(spark)}.customers"
@@ -642,6 +679,49 @@ def backfill_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+def backfill_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the days, then all: the second run leaves the recorded ones out."""
+    (events,) = load(spark, sf_dir, "events")
+    source, table = days_to_fill(spark, events)
+    query = DAY_QUERY.format(source=source, start=":start_time", stop=":stop_time")
+    first, stop = day_bounds(events)
+    half = first + (stop - first) / 2
+    ledger = f"{table}_ledger"
+    backfill_daily(spark, query, first, half, into=table, ledger=ledger)
+    result = backfill_daily(spark, query, first, stop, into=table, ledger=ledger)
+    if not result["succeeded"]:
+        raise RuntimeError(result["error"])
+    skipped = spark.createDataFrame([(d,) for d in result["skipped"]], "skipped date")
+    held = spark.table(table)
+    return held.join(F.broadcast(skipped), held.day == skipped.skipped, "left").select(
+        "event_type", "n", "total", "day", F.col("skipped").isNotNull().alias("from_first_run")
+    )
+
+
+def backfill_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of two days come late: only these days are filled again."""
+    (events,) = load(spark, sf_dir, "events")
+    source, table = days_to_fill(spark, events)
+    query = DAY_QUERY.format(source=source, start=":start_time", stop=":stop_time")
+    first, stop = day_bounds(events)
+    late = (F.to_date("ts").isin(first, first + (stop - first) / 2)) & (F.col("event_id") % 2 == 0)
+    everything = spark.table(source)
+    early = f"{source}_early"
+    save_table(spark, everything.where(~F.coalesce(late, F.lit(False))), early, partition_by=["on_day"])
+    query = query.replace(source, early)
+    given = {"into": table, "ledger": f"{table}_ledger", "source": early}
+    backfill_daily(spark, query, first, stop, **given)
+    save_table(spark, everything.where(late), early, if_exists="append")
+    result = backfill_daily(spark, query, first, stop, **given)
+    if not result["succeeded"]:
+        raise RuntimeError(result["error"])
+    again = spark.createDataFrame([(d,) for d in result["days"]], "again date")
+    held = spark.table(table)
+    return held.join(F.broadcast(again), held.day == again.again, "left").select(
+        "event_type", "n", "total", "day", F.col("again").isNotNull().alias("filled_again")
+    )
+
+
 def backfill_range_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     (events,) = load(spark, sf_dir, "events")
     table = f"{scratch(spark)}.by_day"
@@ -730,14 +810,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "update_all_retyped": update_all_retyped,
         "update_partitioned": update_partitioned,
         "update_one_day": update_one_day,
+        "update_hit_partitions": update_hit_partitions,
         "update_partition_column": update_partition_column,
         "swap_tables": swap_tables_query,
+        "swap_recovered": swap_recovered,
         "rebuild_table": rebuild_table_query,
         "rebuild_partitioned": rebuild_partitioned,
         "script_pipeline": script_pipeline,
         "script_resume": script_resume,
         "backfill_daily": backfill_daily_query,
         "backfill_template": backfill_template,
+        "backfill_ledger": backfill_ledger,
+        "backfill_late": backfill_late,
         "backfill_range": backfill_range_query,
         "daily_slices": daily_slices_query,
     }
@@ -875,6 +959,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_id, ts, user_id, event_type,
               CASE WHEN ts >= '2024-01-05' AND ts < '2024-01-07' THEN value + 1 ELSE value END
               AS value, props, CAST(ts AS DATE) AS day FROM events""",
+        "update_hit_partitions": """
+            SELECT event_id, CASE WHEN hit THEN value + 1 ELSE value END AS value,
+              CASE WHEN NOT hit THEN props END AS props, CAST(ts AS DATE) AS day, hit AS rewritten
+            FROM (SELECT *, ts >= '2024-01-05' AND ts < '2024-01-07' AS hit FROM events)""",
         "update_partition_column": """
             SELECT event_id, ts, user_id, event_type, value, props,
               CASE WHEN value > 50 THEN last_day(ts) ELSE CAST(ts AS DATE) END AS day
@@ -883,6 +971,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_id, value, CAST(ts AS DATE) AS day, 'new' AS side FROM events
             WHERE value > 50
             UNION ALL SELECT event_id, value, CAST(ts AS DATE), 'old' FROM events""",
+        "swap_recovered": """
+            SELECT event_id, event_type, CAST(ts AS DATE) AS day, 'new' AS side
+            FROM events WHERE value > 50
+            UNION ALL SELECT event_id, event_type, CAST(ts AS DATE), 'old' FROM events""",
         "rebuild_table": "SELECT * FROM customer",
         "rebuild_partitioned": """
             SELECT *, CAST(ts AS DATE) AS day, 'new' AS side FROM events
@@ -895,6 +987,14 @@ def oracle_sql() -> dict[str, str]:
             FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)""",
         "backfill_daily": by_day,
         "backfill_template": by_day,
+        "backfill_ledger": f"""
+            WITH bounds AS (SELECT CAST(min(ts) AS DATE) AS lo, CAST(max(ts) AS DATE) + 1 AS hi FROM events)
+            SELECT b.*, day < lo + CAST((hi - lo) // 2 AS INTEGER) AS from_first_run
+            FROM ({by_day}) b, bounds""",
+        "backfill_late": f"""
+            WITH bounds AS (SELECT CAST(min(ts) AS DATE) AS lo, CAST(max(ts) AS DATE) + 1 AS hi FROM events)
+            SELECT b.*, day IN (lo, lo + CAST((hi - lo) // 2 AS INTEGER)) AS filled_again
+            FROM ({by_day}) b, bounds""",
         "backfill_range": by_day,
         "daily_slices": """
             SELECT CAST(d.day AS DATE) AS day, count(e.event_id) AS n_events,

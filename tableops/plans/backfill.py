@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import time
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType
+from pyspark.sql.types import DateType, MapType, StringType
 
 from tableops.functions.names import quoted
 from tableops.operators.counted import counted_write, dynamic_overwrite, rebalanced
@@ -29,6 +31,10 @@ def backfill_daily(
     stop: dt.date | str,
     into: str | None = None,
     day_col: str = "day",
+    ledger: str | None = None,
+    job: str | None = None,
+    source: str | None = None,
+    source_ts: str = "ts",
 ) -> dict[str, Any]:
     """Run a template once for each day of [start, stop), in order, stopping at a failure.
 
@@ -38,6 +44,14 @@ def backfill_daily(
     named. With ``into`` the template is one query, without the day column, and its result
     overwrites partition ``day_col`` of that table, also when there are no rows.
 
+    ``ledger`` names a table, made if it is missing, where each day that is done is recorded with
+    a hash of the template, under ``job`` (by default the name of ``into``). Days recorded last
+    with the same template are left out, so a run that was cut off goes on where it ended, and a
+    changed template does all days again. With ``source``, a table with the time column
+    ``source_ts``, a day is also done again when its rows have changed since: a count and a sum
+    of row hashes for each day, found by one job for the whole range, are recorded too. Days in
+    the ledger that were not done again are returned as ``'skipped'``.
+
     Returns ``{'succeeded': True, 'days': [..]}``, or ``{'succeeded': False, 'days': done,
     'failed_day': .., 'error': .., 'sqls': ..}``.
     """
@@ -45,8 +59,15 @@ def backfill_daily(
     if target is not None:
         recover_table(spark, target)
         require_table(spark, target)
+    days, kept = _days(start, stop), {}
+    book = None
+    if ledger is not None:
+        book = Ledger(spark, ledger, job or (target and str(target)), f"{template}\n{target}\n{day_col}")
+        sums = {} if source is None else day_checksums(spark.table(source), source_ts, start, stop)
+        kept = {"skipped": [d for d in days if book.holds(d, sums.get(d, ""))]}
+        days = [d for d in days if d not in set(kept["skipped"])]
     done: list[dt.date] = []
-    for day in _days(start, stop):
+    for day in days:
         filled = template.replace(START_TEXT, day.isoformat())
         filled = filled.replace(STOP_TEXT, (day + _DAY).isoformat())
         script: str | list[str] = filled
@@ -55,9 +76,63 @@ def backfill_daily(
             script = [f"INSERT OVERWRITE TABLE {target} {_partition(day_col, day)} {query}"]
         result = run_script(spark, script, {"start_time": day, "stop_time": day + _DAY})
         if not result["succeeded"]:
-            return {**result, "days": done, "failed_day": day}
+            return {**result, "days": done, "failed_day": day, **kept}
+        if book is not None:
+            # after the day itself: a run lost in between does the day again
+            book.record(day, sums.get(day, ""))
         done.append(day)
-    return {"succeeded": True, "days": done}
+    return {"succeeded": True, "days": done, **kept}
+
+
+class Ledger:
+    """Days that a job has done, in a table that only grows; the last record of a day counts."""
+
+    def __init__(self, spark: SparkSession, name: str, job: str | None, template: str) -> None:
+        if not job:
+            raise ValueError("A ledger needs the name of the job")
+        self.spark, self.name, self.job = spark, table_name(spark, name), job
+        self.template = hashlib.sha256(template.encode()).hexdigest()
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name} "
+            "(job STRING, day DATE, template STRING, source STRING, recorded BIGINT) USING parquet"
+        )
+        # one row for each day of the job
+        last = F.max_by(F.struct("template", "source"), "recorded").alias("last")
+        rows = spark.table(str(self.name)).where(F.col("job") == job).groupBy("day").agg(last)
+        self.done = {r["day"]: tuple(r["last"]) for r in rows.collect()}
+
+    def holds(self, day: dt.date, source: str) -> bool:
+        return self.done.get(day) == (self.template, source)
+
+    def record(self, day: dt.date, source: str) -> None:
+        self.spark.sql(
+            f"INSERT INTO {self.name} VALUES (:job, :day, :template, :source, :recorded)",
+            {"job": self.job, "day": day, "template": self.template, "source": source,
+             "recorded": time.time_ns()},
+        )
+        self.done[day] = (self.template, source)
+
+
+def day_checksums(
+    df: DataFrame, ts: str, start: dt.date | str, stop: dt.date | str
+) -> dict[dt.date, str]:
+    """For each day of [start, stop) that has rows, their count and a sum of hashes of them.
+
+    The sum doesn't depend on the order of rows or files, and counts repeated rows. One grouping,
+    combined before the shuffle; the result has a row for each day.
+    """
+    at = F.col(quoted(ts))
+    inside = df.where((at >= F.lit(_date(start))) & (at < F.lit(_date(stop))))
+    # maps have no hash of their own; their JSON lists the entries as they are held
+    columns = [
+        F.to_json(quoted(f.name)) if isinstance(f.dataType, MapType) else F.col(quoted(f.name))
+        for f in df.schema
+    ]
+    hashed = F.xxhash64(*columns, *[c.isNull() for c in columns]).cast("decimal(38,0)")
+    rows = inside.groupBy(F.to_date(at).alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(hashed).alias("hashes")
+    )
+    return {r["day"]: f"{r['n']}:{r['hashes']}" for r in rows.collect()}
 
 
 def backfill_range(
