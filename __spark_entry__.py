@@ -20,6 +20,7 @@ from tableops import (
     backfill_range,
     bulk_insert,
     cast_temporal,
+    compact_table,
     create_from_data,
     daily_slices,
     normalize_nulls,
@@ -594,6 +595,30 @@ def rebuild_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- scripts and backfill ----------------------------------------------------------
 
 
+def compact_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in one file a day, but for two days that rows were appended to five times: files of
+    each day before and after, and whether its rows stayed and a second call wrote nothing."""
+    table = f"{scratch(spark)}.events"
+    daily_events(spark, sf_dir, table)
+    compact_table(spark, table)
+    days = "day IN (DATE '2024-01-05', DATE '2024-01-06')"
+    for k in range(5):
+        save_table(spark, spark.table(table).where(days).where(F.col("event_id") % 5 == k), table, "append")
+
+    def held(name: str) -> DataFrame:
+        rows = files_by_day(spark.table(table)).groupBy(F.col("day").alias(f"{name}_day"))
+        return rows.agg(F.count_distinct("file").alias(f"files_{name}"), F.count(F.lit(1)).alias(f"n_{name}"))
+
+    before = spark.createDataFrame(held("before").collect(), held("before").schema)
+    rewritten, again = compact_table(spark, table), compact_table(spark, table)
+    after = held("after")
+    return after.join(before, after.after_day == before.before_day).select(
+        F.col("after_day").alias("day"), "files_after", (F.col("files_before") > 2).alias("had_many"),
+        F.col("n_after").alias("n"), (F.col("n_after") == F.col("n_before")).alias("kept"),
+        F.lit(rewritten).alias("rewritten"), F.lit(again).alias("again"),
+    )
+
+
 def script_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     load(spark, sf_dir, "orders", "customer")
     database = scratch(spark)
@@ -816,6 +841,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "swap_recovered": swap_recovered,
         "rebuild_table": rebuild_table_query,
         "rebuild_partitioned": rebuild_partitioned,
+        "compact_partitions": compact_partitions,
         "script_pipeline": script_pipeline,
         "script_resume": script_resume,
         "backfill_daily": backfill_daily_query,
@@ -979,6 +1005,13 @@ def oracle_sql() -> dict[str, str]:
         "rebuild_partitioned": """
             SELECT *, CAST(ts AS DATE) AS day, 'new' AS side FROM events
             UNION ALL SELECT *, CAST(ts AS DATE), 'old' FROM events""",
+        "compact_partitions": """
+            SELECT CAST(ts AS DATE) AS day, CAST(1 AS BIGINT) AS files_after,
+              CAST(ts AS DATE) IN (DATE '2024-01-05', DATE '2024-01-06') AS had_many,
+              count(*) * CASE WHEN CAST(ts AS DATE) IN (DATE '2024-01-05', DATE '2024-01-06')
+                THEN 2 ELSE 1 END AS n,
+              true AS kept, CAST(2 AS INTEGER) AS rewritten, CAST(0 AS INTEGER) AS again
+            FROM events GROUP BY CAST(ts AS DATE)""",
         "script_pipeline": """
             SELECT c_mktsegment AS seg, count(*) AS n, 'a;b' AS mark FROM customer
             WHERE c_custkey IN (SELECT o_custkey FROM orders) GROUP BY c_mktsegment""",

@@ -8,6 +8,7 @@ from tableops.functions.columns import (
     result_schema,
 )
 from tableops.functions.types import spark_type
+from tableops.operators.compact import compact_table
 from tableops.operators.rebuild import rebuild_table
 from tableops.operators.swap import recover_table, swap_tables
 from tableops.operators.update import finish_update, update_table
@@ -24,6 +25,7 @@ __all__ = [
     "backfill_range",
     "bulk_insert",
     "cast_temporal",
+    "compact_table",
     "create_from_data",
     "daily_slices",
     "finish_update",

@@ -83,7 +83,7 @@ def update_table(
         if found == []:
             return 0
         if found is not None and 2 * len(found) <= spark.sql(f"SHOW PARTITIONS {target}").count():
-            table, only_partitions = table.where(_is_one_of(parts, found)), where
+            table, only_partitions = table.where(partitions_are(parts, found)), where
 
     updated = _updated(table, changes, hit, retype)
     if moves_rows:
@@ -146,7 +146,7 @@ def _hit_partitions(rows: DataFrame, parts: list[str]) -> list[Row] | None:
     return found if len(found) <= HIT_PARTITIONS else None
 
 
-def _is_one_of(parts: list[str], values: list[Row]) -> Column:
+def partitions_are(parts: list[str], values: list[Row]) -> Column:
     """A predicate on the partition columns, which prunes when the scan is planned."""
     any_of = [
         reduce(and_, [F.col(quoted(c)).eqNullSafe(F.lit(v)) for c, v in zip(parts, row)])

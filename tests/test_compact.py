@@ -1,0 +1,91 @@
+"""Compaction rewrites ill-sized partitions, whole, and nothing else."""
+
+from __future__ import annotations
+
+import os
+from urllib.parse import unquote
+
+import pytest
+
+from tableops import compact_table, save_table
+
+
+def files(spark, name):
+    spark.catalog.refreshTable(name)
+    paths = [unquote(f.removeprefix("file://")) for f in spark.table(name).inputFiles()]
+    return {p: os.stat(p).st_mtime_ns for p in paths}
+
+
+def per_day(found):
+    counts = {}
+    for p in found:
+        day = os.path.dirname(p.split("/t/")[1])
+        counts[day] = counts.get(day, 0) + 1
+    return counts
+
+
+@pytest.fixture
+def parted(spark, db):
+    df = spark.range(3000).selectExpr(
+        "id", "CASE WHEN id % 4 > 0 THEN id % 4 END AS k", "concat('a b=', id % 2) AS `the day`", "uuid() AS u"
+    )
+    save_table(spark, df, f"{db}.t", partition_by=["k", "the day"])
+    return f"{db}.t"
+
+
+def contents(spark, name):
+    return sorted(map(repr, spark.table(name).collect()))
+
+
+def test_only_ill_sized_partitions_are_written(spark, parted):
+    compact_table(spark, parted)
+    before, held = files(spark, parted), contents(spark, parted)
+    assert set(per_day(before).values()) == {1}
+    extra = spark.table(parted).where("k IS NULL").selectExpr("id + 10000 AS id", "k", "`the day`", "u")
+    for part in range(4):
+        save_table(spark, extra.where(f"id % 16 = {4 * part}"), parted, "append", match="name", schema=None)
+    held = contents(spark, parted)
+    assert compact_table(spark, parted) == 1
+    after = files(spark, parted)
+    assert contents(spark, parted) == held
+    assert {p.split("/t/")[1].split("/")[0] for p in set(before) ^ set(after)} == {"k=__HIVE_DEFAULT_PARTITION__"}
+    assert compact_table(spark, parted) == 0 and files(spark, parted) == after
+
+
+def test_big_files_are_cut_and_small_ones_joined(spark, db):
+    df = spark.range(40_000).selectExpr("id", "uuid() AS u", "int(id < 38000) AS big").coalesce(1)
+    save_table(spark, df, f"{db}.t", partition_by=["big"], rebalance=False)
+    held, size = contents(spark, f"{db}.t"), max(map(os.path.getsize, files(spark, f"{db}.t")))
+    assert compact_table(spark, f"{db}.t", size // 4) == 1
+    counts = per_day(files(spark, f"{db}.t"))
+    assert 3 <= counts["big=1"] <= 5 and counts["big=0"] == 1
+    assert contents(spark, f"{db}.t") == held
+    assert compact_table(spark, f"{db}.t", 10 * size) == 1
+    assert per_day(files(spark, f"{db}.t")) == {"big=1": 1, "big=0": 1}
+    assert contents(spark, f"{db}.t") == held
+
+
+def test_tables_without_partitions(spark, db):
+    save_table(spark, spark.range(1000).repartition(9), f"{db}.t")
+    assert len(files(spark, f"{db}.t")) == 9
+    assert compact_table(spark, f"{db}.t") == 1
+    found = files(spark, f"{db}.t")
+    assert len(found) == 1 and spark.table(f"{db}.t").count() == 1000
+    assert compact_table(spark, f"{db}.t") == 0 and files(spark, f"{db}.t") == found
+    assert not spark.catalog.tableExists(f"{db}.t___old")
+
+
+def test_empty_tables(spark, db):
+    spark.sql(f"CREATE TABLE {db}.t (a INT, b INT) USING parquet PARTITIONED BY (b)")
+    spark.sql(f"CREATE TABLE {db}.u (a INT) USING parquet")
+    assert compact_table(spark, f"{db}.t") == compact_table(spark, f"{db}.u") == 0
+
+
+def test_listing_reads_no_contents(spark, parted):
+    from tableops.operators.compact import _ill_sized
+    from tableops.sources.catalog import describe, table_name
+    from tests.plans import executed_plan
+
+    location = describe(spark, table_name(spark, parted))["location"]
+    plan = executed_plan(_ill_sized(spark, location, 1000))
+    assert "content" not in plan.split("ReadSchema")[1]
