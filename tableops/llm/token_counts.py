@@ -20,12 +20,15 @@ committed as such. Groups whose documents and tokens are both back at 0 are not
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KEYS = ("source", "lang", "tokenizer")
+#: Names of batches.
+_BATCH = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
 _DELTA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 
 
@@ -73,19 +76,23 @@ class TokenRollup:
         """The newest compacted delta; its name begins with its number."""
         return max(self._folders("snapshot"), default=None)
 
-    def _held(self) -> set[str]:
-        """Batches in the snapshot: few names, one for each commit."""
-        newest = self._snapshot()
+    def _held(self, newest: str | None) -> set[str]:
+        """Batches in a snapshot: few names, one for each commit."""
         if newest is None:
             return set()
         return {r[0] for r in self.spark.read.parquet(f"{newest}-batches").collect()}
 
     def committed(self, batch: str) -> bool:
-        return self._has(f"{self.path}/delta/{batch}/_SUCCESS") or batch in self._held()
+        return self._has(f"{self.path}/delta/{batch}/_SUCCESS") or batch in self._held(
+            self._snapshot()
+        )
 
     def apply(self, batch: str, changes: DataFrame) -> bool:
-        """Commit a batch; False if it had been committed before, and then nothing changes."""
-        if not batch or "/" in batch:
+        """Commit a batch; False if it had been committed before, and then nothing changes.
+
+        The name is that of a folder: letters, digits, `.`, `_`, `-`, a letter or digit first.
+        """
+        if not _BATCH.fullmatch(batch):
             raise ValueError(f"not a name of a batch: {batch!r}")
         if self.committed(batch):
             return False
@@ -97,13 +104,10 @@ class TokenRollup:
         delta.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/delta/{batch}")
         return True
 
-    def _open(self) -> list[str]:
-        held = self._held()
+    def _open(self, held: set[str]) -> list[str]:
         return [f for f in self._folders("delta") if f.rpartition("/")[2] not in held]
 
-    def totals(self) -> DataFrame:
-        newest = self._snapshot()
-        paths = [*self._open(), *([newest] if newest else [])]
+    def _summed(self, paths: list[str]) -> DataFrame:
         deltas = (
             self.spark.read.schema(_DELTA).parquet(*paths)
             if paths
@@ -115,15 +119,26 @@ class TokenRollup:
             .where("n_docs <> 0 OR n_tokens <> 0")
         )
 
+    def totals(self) -> DataFrame:
+        """Sums over the newest snapshot, as it is now, and the deltas it doesn't hold."""
+        newest = self._snapshot()
+        return self._summed([*self._open(self._held(newest)), *([newest] if newest else [])])
+
     def compact(self) -> None:
-        """Fold the deltas into a snapshot. Readers see it only when all of it is there."""
+        """Fold the deltas into a snapshot. Readers see it only when all of it is there.
+
+        It sums exactly the folders that it lists once; a batch that commits meanwhile stays a
+        delta. Of two compactions at a time one wins, and either is whole.
+        """
         newest = self._snapshot()
         number = int(newest.rpartition("/")[2].split("-")[0]) + 1 if newest else 0
-        batches = sorted(self._held() | {f.rpartition("/")[2] for f in self._open()})
+        held = self._held(newest)
+        opened = self._open(held)
+        batches = sorted(held | {f.rpartition("/")[2] for f in opened})
         name = f"{self.path}/snapshot/{number:08d}-{uuid.uuid4().hex}"
         self.spark.createDataFrame([(b,) for b in batches], "batch string").coalesce(
             1
         ).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
             f"{name}-batches"
         )
-        self.totals().coalesce(1).write.parquet(name)
+        self._summed([*opened, *([newest] if newest else [])]).coalesce(1).write.parquet(name)

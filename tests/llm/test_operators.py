@@ -98,6 +98,38 @@ def test_rollup_failed_commit_is_replaced(spark, tmp_path):
     assert totals(rollup) == {("a", "en", "v"): (1, 5)}
 
 
+def test_rollup_commit_while_compacting(spark, tmp_path, monkeypatch):
+    def load(n):
+        rows = [("insert", "a", "en", "v", n, None, None, None, None)]
+        return spark.createDataFrame(rows, CHANGES).withColumns({"docs": F.lit(9), "tokens": F.lit(9)})
+
+    rollup = TokenRollup(spark, str(tmp_path / "r"))
+    rollup.apply("1", load(10))
+    real = rollup._open
+
+    def late(held):
+        found = real(held)
+        monkeypatch.setattr(rollup, "_open", real)
+        rollup.apply("2", load(5))
+        return found
+
+    monkeypatch.setattr(rollup, "_open", late)
+    rollup.compact()
+    assert totals(rollup) == {("a", "en", "v"): (2, 15)}
+    rollup.compact()
+    assert totals(rollup) == {("a", "en", "v"): (2, 15)} and not rollup.apply("2", load(5))
+
+
+@pytest.mark.parametrize("name", ["", "..", ".", "/", "a/b", "-x", "_SUCCESS", "a b"])
+def test_rollup_refuses_names(spark, tmp_path, name):
+    rollup = TokenRollup(spark, str(tmp_path / "r"))
+    load = spark.createDataFrame([("insert", "a", "en", "v", 5, None, None, None, None)], CHANGES)
+    rollup.apply("1", load)
+    with pytest.raises(ValueError):
+        rollup.apply(name, load)
+    assert totals(rollup) == {("a", "en", "v"): (1, 5)}
+
+
 # --- chat formatting -----------------------------------------------------------------
 
 
