@@ -430,6 +430,18 @@ def create_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+def pandas_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pandas frame, as a caller holds it, written with the columns its dtypes ask for."""
+    (supplier,) = load(spark, sf_dir, "supplier")
+    held = supplier.selectExpr(
+        "s_suppkey", "s_name", "s_nationkey", "s_acctbal", "s_acctbal < 0 AS owes",
+        "timestamp'2024-01-01 00:00:00' + make_dt_interval(0, s_suppkey) AS seen",
+    ).toPandas()
+    table = f"{scratch(spark)}.suppliers"
+    save_table(spark, held, table)
+    return spark.table(table).withColumn("seen", F.col("seen").cast("timestamp_ntz"))
+
+
 def write_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows each write reports, beside what the tables then hold."""
     load(spark, sf_dir, "orders")
@@ -826,6 +838,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "replace_table": replace_table,
         "replace_structure": replace_structure,
         "create_from_parts": create_from_parts,
+        "pandas_input": pandas_input,
         "write_counts": write_counts,
         "table_metadata": table_metadata,
         "rename_and_drop": rename_and_drop,
@@ -958,6 +971,10 @@ def oracle_sql() -> dict[str, str]:
         "create_from_parts": """
             SELECT o_custkey AS cust, o_orderstatus AS status FROM orders
             UNION ALL SELECT o_custkey, o_orderstatus FROM orders""",
+        "pandas_input": """
+            SELECT s_suppkey, s_name, s_nationkey, s_acctbal, s_acctbal < 0 AS owes,
+              TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(s_suppkey AS BIGINT)) AS seen
+            FROM supplier""",
         "write_counts": """
             SELECT count(*) AS created, count(*) AS appended, count(*) AS replaced,
               count(*) AS held FROM orders""",

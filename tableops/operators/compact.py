@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import accumulate
+from operator import and_
 from typing import Any
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
@@ -34,14 +37,15 @@ SLACK = 1.5
 AT_ONCE = 1000
 
 
-def compact_table(spark: SparkSession, name: str, file_bytes: int = 128 << 20) -> int:
+def compact_table(spark: SparkSession, name: str, file_bytes: int = 96 << 20) -> int:
     """Bring the files of a table near ``file_bytes``; return the number of partitions rewritten.
 
     A partition needs its bytes over ``file_bytes`` files, rounded up. It is rewritten when it has
     over 1.5 times as many, or a file of over 1.5 times the size; all others keep their files, so
     a second call does nothing. Sizes come from a listing; no data is read to find out. The rows of a partition are dealt to as many tasks as it needs files, so that a big
     partition is the work of many; partitions are overwritten from a finished copy, as by
-    ``update_table``, and an interruption is ended by ``finish_update``. A table without
+    ``update_table``, and an interruption is ended by ``finish_update``. That copy is read by splits of
+    ``spark.sql.files.maxPartitionBytes``, so ``file_bytes`` should stay well below it. A table without
     partitions is rebuilt and swapped.
     """
     target = table_name(spark, name)
@@ -96,24 +100,26 @@ def _rewrite(
     spark: SparkSession, target: TableName, info: dict[str, Any], layout: StructType, needed: dict[tuple, int]
 ) -> None:
     table = spark.table(str(target))
-    # the texts of directories as values of the columns' types
-    cast = [F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in layout]
-    texts = StructType().add("files", IntegerType())
-    for f in layout:
-        texts = texts.add(f.name, StringType())
-    given = spark.createDataFrame([(n, *v) for v, n in needed.items()], texts).select("files", *cast)
-    rows = given.collect()
-    scope = partitions_are(layout.names, [Row(*r[1:]) for r in rows])
-
-    # deal each partition's rows to as many tasks as it needs files
-    place = "___place"
-    files = F.lit(1)
-    for row in rows:
-        if row["files"] > 1:
-            files = F.when(partitions_are(layout.names, [Row(*row[1:])]), row["files"]).otherwise(files)
-    dealt = table.where(scope).withColumn(place, F.pmod(F.monotonically_increasing_id(), files))
-    keys: list[Column] = [F.col(quoted(c)) for c in layout.names]
-    dealt = dealt.repartition(sum(needed.values()), *keys, F.col(place)).drop(place)
+    # the texts of directories as values of the columns' types; a partition's files are numbered
+    # from `first` on
+    names = [f"___{i}" for i in range(len(layout))]
+    cast = [F.col(n).cast(f.dataType).alias(n) for n, f in zip(names, layout)]
+    texts = StructType().add("___files", IntegerType()).add("___first", IntegerType())
+    for n in names:
+        texts = texts.add(n, StringType())
+    firsts = accumulate(needed.values(), initial=0)
+    given = spark.createDataFrame(
+        [(n, first, *v) for (v, n), first in zip(needed.items(), firsts)], texts
+    ).select("___files", "___first", *cast)
+    scope = partitions_are(layout.names, [Row(*r[2:]) for r in given.collect()])
+
+    # deal each partition's rows to as many tasks as it needs files; `given` has AT_ONCE rows at most
+    same = reduce(and_, [F.col(quoted(f.name)).eqNullSafe(F.col(n)) for n, f in zip(names, layout)])
+    place = F.col("___first") + F.pmod(F.monotonically_increasing_id(), F.col("___files")).cast("int")
+    dealt = table.where(scope).join(F.broadcast(given), same).withColumn("___place", place)
+    dealt = dealt.repartitionById(sum(needed.values()), F.col("___place")).select(
+        *[F.col(quoted(c)) for c in table.columns]
+    )
     stage = target.with_suffix(UPDATED_SUFFIX)
     create_like(spark, stage, target, info)
     dealt.write.insertInto(str(stage))
