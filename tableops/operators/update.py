@@ -79,6 +79,7 @@ def update_table(
         table = table.where(only_partitions)
 
     elif where is not None and parts and not moves_rows:
+        _updated(table, changes, hit, retype)  # a mistake in an expression shows without hits too
         found = _hit_partitions(table.where(F.expr(where).cast("boolean")), parts)
         if found == []:
             return 0

@@ -6,6 +6,7 @@ import os
 from urllib.parse import unquote
 
 import pytest
+from pyspark.errors import AnalysisException
 
 import tableops.operators.update as update
 from tableops import save_table, update_table
@@ -44,6 +45,11 @@ def test_no_hit_writes_nothing(spark, daily):
     assert files(spark, daily) == before
 
 
+def test_mistakes_show_without_hits(spark, daily):
+    with pytest.raises(AnalysisException):
+        update_table(spark, daily, {"kind": "no_such_column"}, "id > 1000")
+
+
 def test_null_predicates_and_many_hits(spark, daily):
     # NULL = 'a' is neither true nor false; every partition is hit, so the table is swapped
     before = files(spark, daily)
