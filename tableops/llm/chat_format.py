@@ -11,15 +11,20 @@ use, gets a backslash after its first character, and one that has backslashes th
 more. No text can therefore form a control string, and taking one backslash away gives the text
 back. A line feed in a role becomes backslash n, a backslash in a role two.
 
-The loss mask covers the assistant texts: start and end (exclusive) of each in code points.
+The loss mask covers the assistant texts: start and end (exclusive) of each in code points, and in
+bytes of UTF-8.
 
 A null text or role is empty. Turns are ordered by number, null first, then role and text, so
 repeated rows stay, side by side. Rows of a null id form one conversation. A conversation is one
 value of the result, so its rows come together; partial collection happens before the shuffle.
+A very long conversation takes time about in proportion to its turns. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,7 +62,7 @@ def unescaped_role(role: Column) -> Column:
 def format_conversations(
     turns: DataFrame, loss_role: str = "assistant"
 ) -> DataFrame:
-    """One row per conversation: conv_id, formatted, loss_spans array of (start, end).
+    """One row per conversation: conv_id, formatted, loss_spans array of (start, end, byte_start, byte_end).
 
     `turns` has conv_id, turn, role, text; other columns are not looked at.
     """
@@ -99,30 +104,16 @@ def format_conversations(
             (m.getField("role") == loss_role).alias("loss"),
         ),
     )
-    # lengths of the messages, summed up to where each begins
-    length = F.transform(
-        "shown",
-        lambda m: F.length(m.getField("head"))
-        + F.length(F.array_join(m.getField("texts"), PART))
-        + len(END)
-        + 1,
-    )
-    begins = F.aggregate(
-        "lengths",
-        F.array(F.lit(0)),
-        lambda sums, n: F.array_append(sums, F.element_at(sums, -1) + n),
+    # where each message begins, in code points and in bytes
+    placed = F.zip_with(
+        F.zip_with("shown", running(_lengths(F.length)), lambda m, at: F.struct(m.alias("m"), at.alias("at"))),
+        running(_lengths(F.octet_length)),
+        lambda x, at: F.struct(
+            x.getField("m").alias("m"), x.getField("at").alias("at"), at.alias("byte_at")
+        ),
     )
     spans = F.flatten(
-        F.transform(
-            F.filter(
-                F.transform("shown", lambda m, k: F.struct(m.alias("m"), F.get("begins", k).alias("at"))),
-                lambda x: x.getField("m").getField("loss"),
-            ),
-            lambda x: _spans(
-                x.getField("at") + F.length(x.getField("m").getField("head")),
-                x.getField("m").getField("texts"),
-            ),
-        )
+        F.transform(F.filter(placed, lambda x: x.getField("m").getField("loss")), _spans)
     )
     text = F.array_join(
         F.transform(
@@ -137,31 +128,85 @@ def format_conversations(
         sorted_turns.withColumn("starts", starts)
         .select("conv_id", merged.alias("messages"))
         .select("conv_id", shown.alias("shown"))
-        .select("conv_id", "shown", length.alias("lengths"))
-        .select("conv_id", "shown", begins.alias("begins"))
         .select("conv_id", text.alias("formatted"), spans.alias("loss_spans"))
     )
 
 
-def _spans(at: Column, texts: Column) -> Column:
-    """Where each text lies, the first at `at`."""
-    return F.slice(
-        F.aggregate(
-            texts,
-            F.array(F.struct(F.lit(0).alias("start"), (at - len(PART)).alias("end"))),
-            lambda done, t: F.array_append(
-                done,
-                F.struct(
-                    (F.element_at(done, -1).getField("end") + len(PART)).alias("start"),
-                    (F.element_at(done, -1).getField("end") + len(PART) + F.length(t)).alias("end"),
-                ),
-            ),
+def _lengths(measure: Callable[[Column], Column]) -> Column:
+    """The length of each message shown."""
+    return F.transform(
+        "shown",
+        lambda m: measure(m.getField("head"))
+        + measure(F.array_join(m.getField("texts"), PART))
+        + len(END)
+        + 1,
+    )
+
+
+def _spans(placed: Column) -> Column:
+    """Where each text of a message lies."""
+    head, texts = placed.getField("m").getField("head"), placed.getField("m").getField("texts")
+
+    def begins(at: Column, measure: Callable[[Column], Column]) -> Column:
+        before = running(F.transform(texts, lambda t: measure(t) + len(PART)))
+        return F.transform(before, lambda n: at + measure(head) + n)
+
+    spans = F.zip_with(
+        texts,
+        begins(placed.getField("at"), F.length),
+        lambda t, at: F.struct(
+            at.alias("start"), (at + F.length(t)).alias("end"), F.octet_length(t).alias("bytes")
+        ),
+    )
+    return F.zip_with(
+        spans,
+        begins(placed.getField("byte_at"), F.octet_length),
+        lambda s, at: F.struct(
+            s.getField("start").alias("start"),
+            s.getField("end").alias("end"),
+            at.alias("byte_start"),
+            (at + s.getField("bytes")).alias("byte_end"),
         ),
-        2,
-        F.size(texts),
     )
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value worked out once, however often and however deep in lambdas it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(numbers: Column) -> Column:
+    """For each of an array of ints the sum of those before it.
+
+    Appending copies an array, so sums are made in blocks of about the root of the size: first
+    over the blocks, then within each from its start.
+    """
+
+    def sums(block: Column, start: Column) -> Column:
+        return F.aggregate(
+            block, F.array(start), lambda done, n: F.array_append(done, F.element_at(done, -1) + n)
+        )
+
+    def blocks(all_: Column) -> Column:
+        rows = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(all_))).cast("int"))
+        last = F.floor((F.size(all_) - 1) / rows).cast("int")
+        return F.transform(
+            F.sequence(F.lit(0), F.greatest(F.lit(0), last)),
+            lambda i: F.slice(all_, i * rows + 1, rows),
+        )
+
+    def within(cut: Column) -> Column:
+        totals = F.transform(cut, lambda b: F.aggregate(b, F.lit(0), lambda x, n: x + n))
+        return let(
+            sums(totals, F.lit(0)),
+            lambda starts: F.flatten(
+                F.transform(cut, lambda b, i: F.slice(sums(b, F.get(starts, i)), 1, F.size(b)))
+            ),
+        )
+
+    return let(let(numbers, blocks), within)
+
+
 def read_back(formatted: DataFrame) -> DataFrame:
     """Reads the text again: conv_id, turns array of (role, text), loss_texts, formatted_chars."""
     parts = F.split("formatted", _MESSAGE, -1)
@@ -181,12 +226,18 @@ def read_back(formatted: DataFrame) -> DataFrame:
             ),
         )
     )
-    loss = F.transform(
-        "loss_spans",
-        lambda s: unescaped(
-            F.substring(
-                F.col("formatted"), s.getField("start") + 1, s.getField("end") - s.getField("start")
-            )
+    # a place in text is found by reading up to it, in bytes at once
+    loss = let(
+        F.col("formatted").cast("binary"),
+        lambda text: F.transform(
+            "loss_spans",
+            lambda s: unescaped(
+                F.substring(
+                    text,
+                    s.getField("byte_start") + 1,
+                    s.getField("byte_end") - s.getField("byte_start"),
+                ).cast("string")
+            ),
         ),
     )
     return formatted.select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import uuid
 
 import numpy as np
@@ -165,6 +166,27 @@ def test_chat_ties_repeats_and_empty(spark):
     assert chat(spark, []) == {}
 
 
+@pytest.mark.parametrize("roles", [("user", "assistant"), ("assistant",), ("user", "assistant", "assistant")])
+def test_chat_of_very_many_turns(spark, roles):
+    """The masks of a long conversation, and time in proportion to its turns."""
+    n = 30_000
+    said = [f"t{i} ä😀[INST]" if i % 3 else "" for i in range(n)]
+    rows = [(1, i, roles[i % len(roles)], said[i]) for i in range(n)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    began = time.perf_counter()
+    made = format_conversations(df).first()
+    read = read_back(format_conversations(df)).first()
+    assert time.perf_counter() - began < 40
+    assert [tuple(t) for t in read["turns"]] == [(r[2], r[3]) for r in rows]
+    spoken = [r[3] for r in rows if r[2] == "assistant"]
+    assert read["loss_texts"] == spoken
+    data = made["formatted"].encode()
+    for s, text in zip(made["loss_spans"], spoken, strict=True):
+        shown = made["formatted"][s["start"] : s["end"]]
+        assert shown == text.replace("[INST]", "[\\INST]")
+        assert data[s["byte_start"] : s["byte_end"]].decode() == shown
+
+
 def test_chat_is_native(spark):
     df = spark.createDataFrame([(1, 1, "user", "x")], "conv_id long, turn long, role string, text string")
     plan = read_back(format_conversations(df))._jdf.queryExecution().toString()
