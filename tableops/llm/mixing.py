@@ -7,13 +7,15 @@ Within a source documents stand in the order of a hash-random key (MD5 of seed a
 agree). The key's leading bits are the range partition: they cut a source into ranges of about
 `RANGE_ROWS` rows, as many as its size asks for, so a source with a third of all rows is many
 ranges. Sizes are summed by range, then over the ranges before it, then within the range: a
-distributed prefix sum. A source takes whole epochs as long as its target lasts, and in the last
+distributed prefix sum. The ranges before are summed level by level, each of `LEVEL_DIGITS` digits
+of the key, so that no task adds up more than 4,096 of them. A source takes whole epochs as long as its target lasts, and in the last
 one the documents before the exact word at which the budget ends; the document there gives the
 words still missing.
 
 A null source is a source of its own, last in order. A null text has size 0. Documents equal in
 key are ordered by id and size; rows equal in all are interchangeable. An empty table gives an
-empty result; sources without words get nothing.
+empty result; sources without words get nothing. Further columns pass through; one that is named
+as an added column, in whatever case, gives way to it.
 """
 
 from __future__ import annotations
@@ -25,7 +27,11 @@ from .shared import WORD, written
 
 #: Rows of a source that one range holds, on average.
 RANGE_ROWS = 2_000
+#: Hex digits of the key in one level of the sums over ranges.
+LEVEL_DIGITS = 3
 SEED = "mix-1"
+#: What `mix` adds.
+ADDED = ("source_size", "target", "epochs", "before", "budget", "taken")
 
 
 def word_count(text: Column) -> Column:
@@ -76,6 +82,36 @@ def targets(sources: DataFrame, max_epochs: int = 3) -> DataFrame:
     )
 
 
+def range_starts(per_range: DataFrame, digits: int) -> DataFrame:
+    """(start_source, start_range, start): the sum of range_size over the ranges of a source before it.
+
+    `per_range` has one row per source and range, a prefix of the key of at most `digits` digits.
+    Prefixes that share all but the last level are summed in a window; each begins where its
+    parent does. A prefix shorter than a level is its own parent there.
+    """
+    starts = None
+    for upto in range(LEVEL_DIGITS, max(digits, 1) + LEVEL_DIGITS, LEVEL_DIGITS):
+        sizes = per_range.groupBy("source", F.left("range", F.lit(upto)).alias("range")).agg(
+            F.sum("range_size").alias("size")
+        )
+        parent = F.left("range", F.lit(upto - LEVEL_DIGITS))
+        siblings = Window.partitionBy("source", parent).orderBy("range")
+        level = sizes.select(
+            "source", "range", parent.alias("parent"),
+            (F.sum("size").over(siblings) - F.col("size")).alias("start"),
+        )
+        if starts is not None:
+            level = level.withColumnRenamed("start", "own").join(
+                starts,
+                F.col("source").eqNullSafe(F.col("start_source"))
+                & (F.col("parent") == F.col("start_range")),
+            ).withColumn("start", F.col("start") + F.col("own"))
+        starts = level.select(
+            F.col("source").alias("start_source"), F.col("range").alias("start_range"), "start"
+        )
+    return starts
+
+
 def mix(
     sized: DataFrame,
     weights: DataFrame | None = None,
@@ -90,8 +126,8 @@ def mix(
     `weights` has one row per source; without it they cycle. The input is read once and kept as
     a slim table, without texts; columns beside the three pass through.
     """
-    more = [c for c in sized.columns if c not in ("doc_id", "source", "size")]
-    sized = written(sized, "mix")
+    more = [c for c in sized.columns if c.lower() not in ("doc_id", "source", "size", *ADDED)]
+    sized = written(sized.select("doc_id", "source", "size", *[F.col(f"`{c}`") for c in more]), "mix")
     keyed = sized.select(
         "doc_id",
         "source",
@@ -112,7 +148,7 @@ def mix(
         "rows",
         F.coalesce(F.col("weight"), F.lit(0)).alias("weight"),
     )
-    plan = (
+    plan = written(
         targets(known, max_epochs)
         .withColumn("words", F.floor("target").cast("long"))
         .withColumn(
@@ -129,21 +165,16 @@ def mix(
             ).cast("int"),
         )
         .select(F.col("source").alias("plan_source"), "source_size", "target", "epochs", "budget",
-                "digits")
+                "digits"),
+        "mix-plan",
     )
+    digits = plan.agg(F.max("digits")).first()[0] or 0
     placed = keyed.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).select(
         "doc_id", "source", "size", "more", "key", "source_size", "target", "epochs", "budget",
         F.expr("left(key, digits)").alias("range"),
     )
     per_range = placed.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
-    starts = per_range.select(
-        F.col("source").alias("start_source"),
-        F.col("range").alias("start_range"),
-        (
-            F.sum("range_size").over(Window.partitionBy("source").orderBy("range"))
-            - F.col("range_size")
-        ).alias("start"),
-    )
+    starts = range_starts(per_range, digits)
     within = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size")
     ranged = placed.join(
         starts,

@@ -234,6 +234,33 @@ def test_mix(spark, ranges):
         assert all(0 <= r["taken"] <= 3 * r["size"] for r in own)
 
 
+@pytest.mark.parametrize("digits", [1, 2, 3])
+def test_mix_sums_ranges_by_level(spark, digits, monkeypatch):
+    monkeypatch.setattr(mixing, "LEVEL_DIGITS", digits)
+    rng = random.Random(digits)
+    ranges = {(s, "".join(rng.choice("0123456789abcdef") for _ in range(d))): rng.randint(0, 9)
+              for s, d in (("a", 4), (None, 2), ("b", 0), ("c", 1)) for _ in range(300)}
+    rows = [(*k, n) for k, n in ranges.items()]
+    df = spark.createDataFrame(rows, "source string, range string, range_size long")
+    found = {(r["start_source"], r["start_range"]): r["start"] for r in mixing.range_starts(df, 4).collect()}
+    assert found == {
+        (s, r): sum(n for (s2, r2), n in ranges.items() if s2 == s and r2 < r) for s, r in ranges
+    }
+
+
+def test_mix_with_clashing_columns(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", 3), (2, "a", 4)], "doc_id long, source string, size long")
+    names = ["Target", "taken", "before", "range", "more", "start", "key", "plan_source", "digits", "a.b"]
+    out = mixing.mix(df.withColumns({n: F.lit("mine") for n in names}))
+    assert sorted(out.columns) == sorted(
+        ["doc_id", "source", "size", *mixing.ADDED, *names[3:]]
+    )
+    out.write.parquet(str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {r["taken"] for r in back} == {3, 4}
+    assert {r[n] for r in back for n in names[3:]} == {"mine"}
+
+
 def test_mix_empty(spark):
     assert mixing.mix(spark.createDataFrame([], "doc_id long, source string, size long")).collect() == []
     one = spark.createDataFrame([(1, "a", 0), (2, None, 0)], "doc_id long, source string, size long")
