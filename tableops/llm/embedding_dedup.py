@@ -5,7 +5,8 @@ is a distance of at most eps = sqrt(2 - 2 * threshold). Projections on orthonorm
 never lengthen a distance, so vectors (or boxes of vectors) further apart than eps on the leading
 principal directions can't be linked.
 
-1. Copies of a vector become one, with their number.
+1. Vectors are packed, in single precision where that loses nothing, and copies become one, with
+   their number. A digest of 128 bits over label and vector tells them; rows keep only that.
 2. The principal directions come from the sum of outer products over all vectors.
 3. Vectors are sorted by label and by the cells, of side eps, they fall into on the leading
    directions: the epsilon grid order. The sorted sequence is cut into blocks of bounded size,
@@ -13,7 +14,8 @@ principal directions can't be linked.
 4. Intervals of the sequence are joined recursively: a pair of intervals is dropped if their
    boxes are further apart than eps, else replaced by the pairs of their 16 parts each, down to
    blocks. Boxes are joined by the interval above, so no pair is formed that was dropped above.
-5. Pairs of blocks are joined in tasks, in the same way down to a few hundred vectors, and then
+5. Pairs of blocks are joined in tasks, by tiles of a few neighbours, so that a block is sent
+   once to a tile and not to every pair. There they are joined in the same way down to a few hundred vectors, and then
    by a product of matrices in double precision. Each task returns, per vector, how many it is
    linked to, and one representative of what its links connect, never all pairs.
 6. Counts are added up, and components found over the representatives.
@@ -26,6 +28,7 @@ smallest that is not null. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -44,6 +47,8 @@ DIRECTIONS, BLOCK, LEAF = 8, 2048, 256
 LENGTHS = 1000
 #: Intervals above the blocks have 2 ** FAN parts.
 FAN = 4
+#: Tiles of pairs of blocks have 2 ** TILE blocks on a side.
+TILE = 2
 #: Added to distances in comparisons, against rounding; pairs are decided by their cosine alone.
 SLACK = 1e-6
 
@@ -64,6 +69,47 @@ def comparable(label: Column, vector: Column) -> Column:
     )
 
 
+def packed(vectors: np.ndarray) -> list[bytes]:
+    """Each row as bytes: four for a number where all of the row are exact so, else eight."""
+    vectors = vectors + 0.0  # minus zero is zero
+    with np.errstate(over="ignore"):
+        narrow = vectors.astype(np.float32)
+    exact = (narrow == vectors).all(axis=1)
+    return [(n if e else v).tobytes() for n, v, e in zip(narrow, vectors, exact, strict=True)]
+
+
+def unpacked(rows: list[bytes], dim: int) -> np.ndarray:
+    """What `packed` packed, in double precision."""
+    out = np.empty((len(rows), dim))
+    wide = np.array([len(r) == 8 * dim for r in rows], bool)
+    for of_kind, kind in ((wide, np.float64), (~wide, np.float32)):
+        data = b"".join(r for r, mine in zip(rows, of_kind.tolist(), strict=True) if mine)
+        out[of_kind] = np.frombuffer(data, kind).reshape(-1, dim)
+    return out
+
+
+def _packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Packs vectors and gives each a digest; both are null where the vector is."""
+    for frame in frames:
+        out = frame[["id", "no_id", "label"]].copy()
+        out["dim"], out["digest"], out["vec"] = 0, None, None
+        sizes = frame["vector"].map(lambda v: 0 if v is None else len(v))
+        for dim, part in frame[sizes > 0].groupby(sizes[sizes > 0]):
+            rows = packed(np.stack(part["vector"].to_numpy()).astype(np.float64))
+            labels = [label.encode() for label in part["label"]]
+            out.loc[part.index, "dim"] = int(dim)
+            out.loc[part.index, "vec"] = pd.Series(rows, part.index, object)
+            out.loc[part.index, "digest"] = pd.Series(
+                [
+                    hashlib.blake2b(b"%d:%d:" % (dim, len(x)) + x + r, digest_size=16).digest()
+                    for x, r in zip(labels, rows, strict=True)
+                ],
+                part.index,
+                object,
+            )
+        yield out
+
+
 def principal_directions(reps: DataFrame, k: int) -> dict[int, np.ndarray]:
     """For each length of vectors the k leading directions, as columns."""
 
@@ -71,7 +117,7 @@ def principal_directions(reps: DataFrame, k: int) -> dict[int, np.ndarray]:
         sums: dict[int, np.ndarray] = {}
         for frame in frames:
             for dim, part in frame.groupby("dim"):
-                units = unit_rows(np.stack(part["vector"].to_numpy()))
+                units = unit_rows(unpacked(part["vec"].tolist(), int(dim)))
                 sums[dim] = sums.get(dim, 0) + units.T @ units
         for dim, total in sums.items():
             i, j = np.triu_indices(dim)
@@ -82,7 +128,7 @@ def principal_directions(reps: DataFrame, k: int) -> dict[int, np.ndarray]:
     )
     sums = (
         reps.join(F.broadcast(common), "dim", "left_semi")
-        .select("dim", "vector")
+        .select("dim", "vec")
         .mapInPandas(partial, "dim int, i int, j int, s double")
         .groupBy("dim", "i", "j")
         .agg(F.sum("s").alias("s"))
@@ -100,50 +146,49 @@ def principal_directions(reps: DataFrame, k: int) -> dict[int, np.ndarray]:
     return {r["dim"]: np.frombuffer(r["axes"]).reshape(r["dim"], -1) for r in found}
 
 
+def _places(units: np.ndarray, axes: dict[int, np.ndarray], k: int) -> np.ndarray:
+    """Coordinates on the leading directions; zeros where there are none."""
+    places = np.zeros((len(units), k))
+    if units.shape[1] in axes:
+        there = units @ axes[units.shape[1]]
+        places[:, : there.shape[1]] = there
+    return places
+
+
 def _placed(axes, eps: float, k: int) -> Callable:
-    """Adds coordinates on the directions and the cells they fall into."""
+    """Adds the cells that vectors fall into, as bytes that sort like the numbers."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for dim, part in frame.groupby("dim"):
-                units = unit_rows(np.stack(part["vector"].to_numpy()))
-                coords = np.zeros((len(part), k))
-                if dim in axes.value:
-                    there = units @ axes.value[dim]
-                    coords[:, : there.shape[1]] = there
-                cells = np.floor(coords / eps).astype(np.int64)
-                yield pd.DataFrame(
-                    {
-                        "rep": part["rep"].to_numpy(),
-                        "label": part["label"].to_numpy(),
-                        "dim": dim,
-                        "n": part["n"].to_numpy(),
-                        "cells": list(cells),
-                        "place": list(coords),
-                        "unit": [u.tobytes() for u in units],
-                    }
+                places = _places(unit_rows(unpacked(part["vec"].tolist(), int(dim))), axes.value, k)
+                cells = np.clip(np.floor(places / max(eps, SLACK)), -(2**31), 2**31 - 1) + 2**31
+                yield part[["rep", "label", "dim", "n", "vec"]].assign(
+                    cells=[c.tobytes() for c in cells.astype(">u4")]
                 )
 
     return run
 
 
-def _blocks(k: int, block: int) -> Callable:
+def _blocks(axes, k: int, block: int) -> Callable:
     """Cuts the sorted rows of a task into blocks of one label and length."""
 
     def row(pid: int, seq: int, rows: list[pd.DataFrame]) -> dict:
         part = pd.concat(rows)
-        place = np.stack(part["place"].to_numpy())
+        dim, vecs = int(part["dim"].iloc[0]), part["vec"].tolist()
+        vectors = unpacked(vecs, dim)
+        place = _places(unit_rows(vectors), axes.value, k)
+        narrow = all(len(v) == 4 * dim for v in vecs)
         return {
             "label": part["label"].iloc[0],
-            "dim": int(part["dim"].iloc[0]),
+            "dim": dim,
             "pid": pid,
             "seq": seq,
             **{f"lo{i}": place[:, i].min() for i in range(k)},
             **{f"hi{i}": place[:, i].max() for i in range(k)},
             "reps": part["rep"].to_numpy(np.int64).tobytes(),
             "counts": part["n"].to_numpy(np.float64).tobytes(),
-            "places": place.tobytes(),
-            "units": b"".join(part["unit"]),
+            "vecs": b"".join(vecs) if narrow else vectors.tobytes(),
         }
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -182,7 +227,7 @@ def _levels(max_seq: int, max_pid: int) -> list[tuple[int, int]]:
 
 
 def block_pairs(boxes: DataFrame, k: int, eps: float) -> DataFrame:
-    """Pairs (pid_a, seq_a, pid_b, seq_b) of blocks that may hold links, each once, a <= b."""
+    """Pairs (label, dim, a_pid, a_seq, b_pid, b_seq) of blocks that may hold links, each once, a <= b."""
     ends = boxes.agg(F.max("seq"), F.max("pid")).first()
     levels = _levels(ends[0] or 0, ends[1] or 0)
     sides = [f"{e}{i}" for e in ("lo", "hi") for i in range(k)]
@@ -239,7 +284,7 @@ def block_pairs(boxes: DataFrame, k: int, eps: float) -> DataFrame:
             "label", "dim",
             *[F.col(f"{s}_{c}_").alias(f"{s}_{c}") for s in "ab" for c in ("pid", "seq")],
         )
-    return pairs.select("a_pid", "a_seq", "b_pid", "b_seq")
+    return pairs
 
 
 class _Join:
@@ -309,19 +354,22 @@ def _cut(interval: tuple[int, int], leaf: int) -> list[tuple[int, int]]:
     return [(start, middle), (middle, stop)]
 
 
-def _joined(threshold: float, eps: float, k: int, leaf: int) -> Callable:
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        blocks = []
-        for _, r in frame.sort_values("side").iterrows():
-            reps = np.frombuffer(r["reps"], np.int64)
-            blocks.append(
-                {
-                    "reps": reps,
-                    "counts": np.frombuffer(r["counts"]),
-                    "places": np.frombuffer(r["places"]).reshape(len(reps), k),
-                    "units": np.frombuffer(r["units"]).reshape(len(reps), -1),
-                }
-            )
+def _joined(axes, threshold: float, eps: float, k: int, leaf: int) -> Callable:
+    """Joins the blocks of a tile; those that don't meet are left by their boxes at once."""
+
+    def loaded(r: pd.Series) -> dict:
+        reps, dim = np.frombuffer(r["reps"], np.int64), int(r["dim"])
+        width = len(r["vecs"]) // len(reps)
+        rows = [r["vecs"][i : i + width] for i in range(0, len(r["vecs"]), width)]
+        units = unit_rows(unpacked(rows, dim))
+        return {
+            "reps": reps,
+            "counts": np.frombuffer(r["counts"]),
+            "places": _places(units, axes.value, k),
+            "units": units,
+        }
+
+    def linked(blocks: list[dict]) -> pd.DataFrame:
         join = _Join(blocks, len(blocks) == 1, threshold, eps, leaf)
         join.run((0, len(blocks[0]["reps"])), (0, len(blocks[-1]["reps"])))
         reps = np.concatenate([b["reps"] for b in blocks])
@@ -335,6 +383,23 @@ def _joined(threshold: float, eps: float, k: int, leaf: int) -> Callable:
             }
         )
 
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        at = frame.iloc[0]
+        blocks = {(r["pid"], r["seq"]): loaded(r) for _, r in frame.iterrows()}
+
+        def side(s: str) -> list[tuple[int, int]]:
+            tile = (at[f"{s}_pid"], at[f"{s}_tile"])
+            return sorted(b for b in blocks if (b[0], b[1] >> TILE) == tile)
+
+        return pd.concat(
+            [
+                linked([blocks[x]] if x == y else [blocks[x], blocks[y]])
+                for x in side("a")
+                for y in side("b")
+                if x <= y
+            ]
+        )
+
     return run
 
 
@@ -358,66 +423,80 @@ def embedding_groups(
         F.col(f"`{vector_col}`").cast("array<double>").alias("vector"),
     )
     usable = comparable(F.col("label"), F.col("vector"))
+    # pandas has no null among whole numbers, and would make them inexact
+    slim = written(
+        rows.select(
+            F.coalesce("id", F.lit(0)).alias("id"),
+            F.col("id").isNull().alias("no_id"),
+            "label",
+            F.when(usable, F.col("vector")).alias("vector"),
+        )
+        .mapInPandas(
+            _packed, "id long, no_id boolean, label string, dim int, digest binary, vec binary"
+        )
+        .select(F.expr("if(no_id, null, id)").alias("id"), "label", "dim", "digest", "vec"),
+        "packed",
+    )
     reps = written(
-        rows.where(usable)
-        .groupBy("label", "vector")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("best"))
-        .select("*", F.monotonically_increasing_id().alias("rep"), F.size("vector").alias("dim")),
+        slim.where("digest IS NOT NULL")
+        .groupBy("digest")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("id").alias("best"),
+            *[F.first(c).alias(c) for c in ("label", "dim", "vec")],
+        )
+        .select("*", F.monotonically_increasing_id().alias("rep")),
         "vectors",
     )
     axes = spark.sparkContext.broadcast(principal_directions(reps, k))
-    placed = reps.select("rep", "label", "dim", "n", "vector").mapInPandas(
+    placed = reps.select("rep", "label", "dim", "n", "vec").mapInPandas(
         _placed(axes, eps, k),
-        "rep long, label string, dim int, n long, cells array<long>, place array<double>,"
-        " unit binary",
+        "rep long, label string, dim int, n long, vec binary, cells binary",
     )
-    order = ["label", "dim", "cells", "place", "rep"]
+    order = ["label", "dim", "cells", "rep"]
     blocks = written(
         placed.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .mapInPandas(
-            _blocks(k, block),
+            _blocks(axes, k, block),
             "label string, dim int, pid long, seq long, "
             + ", ".join(f"{e}{i} double" for e in ("lo", "hi") for i in range(k))
-            + ", reps binary, counts binary, places binary, units binary",
+            + ", reps binary, counts binary, vecs binary",
         ),
         "blocks",
     )
-    pairs = block_pairs(blocks.drop("reps", "counts", "places", "units"), k, eps)
+    pairs = block_pairs(blocks.drop("reps", "counts", "vecs"), k, eps)
+    tile = ["a_pid", "a_tile", "b_pid", "b_tile"]
     sides = pairs.select(
-        F.struct("a_pid", "a_seq", "b_pid", "b_seq").alias("pair"),
+        F.col("label").alias("of_label"),
+        F.col("dim").alias("of_dim"),
+        *["a_pid", F.shiftright("a_seq", TILE).alias("a_tile")],
+        *["b_pid", F.shiftright("b_seq", TILE).alias("b_tile")],
         F.inline(
-            F.array_distinct(
-                F.array(
-                    F.struct(F.col("a_pid").alias("p"), F.col("a_seq").alias("s")),
-                    F.struct(F.col("b_pid").alias("p"), F.col("b_seq").alias("s")),
-                )
+            F.array(
+                F.struct(F.col("a_pid").alias("p"), F.col("a_seq").alias("s")),
+                F.struct(F.col("b_pid").alias("p"), F.col("b_seq").alias("s")),
             )
         ),
-    )
+    ).distinct()
     loaded = sides.join(
-        blocks.select("pid", "seq", "reps", "counts", "places", "units"),
+        blocks.select("dim", "pid", "seq", "reps", "counts", "vecs"),
         (F.col("p") == F.col("pid")) & (F.col("s") == F.col("seq")),
-    ).select(
-        "pair.*",
-        (F.col("pid") * (1 << 31) + F.col("seq")).alias("side"),
-        "reps", "counts", "places", "units",
-    )
+    ).drop("p", "s")
     found = written(
-        loaded.groupBy("a_pid", "a_seq", "b_pid", "b_seq")
-        .applyInPandas(_joined(threshold, eps, k, leaf), "rep long, links long, root long"),
+        loaded.groupBy("of_label", "of_dim", *tile).applyInPandas(
+            _joined(axes, threshold, eps, k, leaf), "rep long, links long, root long"
+        ),
         "links",
     )
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     parts = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     named = (
-        reps.select("rep", "label", "vector", "n", "best")
+        reps.select("rep", "digest", "n", "best")
         .join(counts.withColumnRenamed("rep", "rep_c"), F.col("rep") == F.col("rep_c"), "left")
         .join(parts, F.col("rep") == F.col("node"), "left")
         .select(
-            "rep",
-            "label",
-            "vector",
+            "digest",
             "best",
             (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
             F.coalesce("component", "rep").alias("component"),
@@ -427,14 +506,11 @@ def embedding_groups(
         F.col("component").alias("c"), "least"
     )
     named = named.join(least, F.col("component") == F.col("c")).select(
-        F.col("label").alias("l"), F.col("vector").alias("v"), "n_links", "least"
+        F.col("digest").alias("d"), "n_links", "least"
     )
-    marked = rows.select("id", F.when(usable, F.col("label")).alias("label"), "vector")
-    return marked.join(
-        named, (F.col("label") == F.col("l")) & (F.col("vector") == F.col("v")), "left"
-    ).select(
+    return slim.select("id", "digest").join(named, F.col("digest") == F.col("d"), "left").select(
         F.col("id").alias(id_col),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("least", "id").alias("component_id"),
         F.coalesce(F.col("id") == F.coalesce("least", "id"), F.lit(False)).alias("kept"),
-    )
+    )

@@ -17,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tableops.llm import byte_bpe, exact_dedup, lm_scoring, mixing, part_encoder, pii, simhash, toxicity
+from tableops.llm import byte_bpe, embedding_dedup, exact_dedup, lm_scoring, mixing, part_encoder, pii, simhash, toxicity
 from tableops.llm.chat_format import PART, format_conversations, read_back
 from tableops.llm.components import components
 from tableops.llm.embedding_dedup import embedding_groups
@@ -830,3 +830,22 @@ def test_embeddings(spark, block, leaf, directions):
     assert sorted(got) == expected
     assert all(r["kept"] == (r["vec_id"] is not None and r["vec_id"] == r["component_id"]) for r in out)
     assert embedding_groups(df.limit(0)).collect() == []
+
+
+def test_embeddings_with_large_and_null_ids(spark):
+    big = 2**60
+    rows = [(big + 1, [1.0, 0.1], "a"), (big + 3, [1.0, 0.1], "a"), (None, [0.1, -1.0], "a"), (big + 5, [1.0, 1e-300], "b")]
+    out = embedding_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string"))
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(
+        [(big + 1, 1, big + 1, True), (big + 3, 1, big + 1, False), (None, 0, None, False), (big + 5, 0, big + 5, True)],
+        key=str,
+    )
+
+
+def test_vectors_packed_and_unpacked():
+    v = np.array([[1.5, -2.0], [0.1, 1.0], [1e300, 0.0], [-0.0, 3.0], [1e-300, 1.0]])
+    rows = embedding_dedup.packed(v)
+    assert [len(r) for r in rows] == [8, 16, 16, 8, 16]
+    assert (embedding_dedup.unpacked(rows, 2) == v).all()
+    assert rows[3] == embedding_dedup.packed(np.array([[0.0, 3.0]]))[0]
+    assert embedding_dedup.unpacked([], 3).shape == (0, 3)
