@@ -594,6 +594,14 @@ def rebuild_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+def rebuild_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (lineitem,) = load(spark, sf_dir, "lineitem")
+    table = f"{scratch(spark)}.lines"
+    save_table(spark, lineitem, table)
+    rebuild_table(spark, table, cluster_by=["l_partkey", "l_shipdate"])
+    return spark.table(table)
+
+
 def rebuild_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{scratch(spark)}.events"
     daily_events(spark, sf_dir, table)
@@ -853,6 +861,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "swap_tables": swap_tables_query,
         "swap_recovered": swap_recovered,
         "rebuild_table": rebuild_table_query,
+        "rebuild_clustered": rebuild_clustered,
         "rebuild_partitioned": rebuild_partitioned,
         "compact_partitions": compact_partitions,
         "script_pipeline": script_pipeline,
@@ -1019,6 +1028,7 @@ def oracle_sql() -> dict[str, str]:
             FROM events WHERE value > 50
             UNION ALL SELECT event_id, event_type, CAST(ts AS DATE), 'old' FROM events""",
         "rebuild_table": "SELECT * FROM customer",
+        "rebuild_clustered": "SELECT * FROM lineitem",
         "rebuild_partitioned": """
             SELECT *, CAST(ts AS DATE) AS day, 'new' AS side FROM events
             UNION ALL SELECT *, CAST(ts AS DATE), 'old' FROM events""",
