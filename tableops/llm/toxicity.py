@@ -25,9 +25,11 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import islice, repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,8 +46,8 @@ SAMPLE = 1500
 DECAY, DROPOUT = 1e-3, 0.2
 #: A document is toxic from this score on.
 THRESHOLD = 0.3
-#: Words whose projections a task remembers; windows computed at once.
-REMEMBERED, BATCH = 100_000, 2048
+#: Words whose projections a task remembers; words projected, and windows computed, at once.
+REMEMBERED, WORDS, BATCH = 100_000, 4096, 2048
 
 
 def tokens(text: str | None) -> list[str]:
@@ -60,19 +62,24 @@ class Lexicon:
 
     def __init__(self, words: list[str], known: dict[str, int]) -> None:
         bare = [w.strip(_MARKS) for w in words]
-        self.number = np.array([known.get(w, len(known)) for w in bare], np.int64)
-        marked = [f"<{w}>" if w else "<->" for w in bare]
-        self.sizes = np.array([len(m) - 2 for m in marked], np.int64)
-        points = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.number = np.fromiter(map(known.get, bare, repeat(len(known))), np.int64, len(bare))
+        if "" in bare:
+            bare = [w or "-" for w in bare]
+        self.sizes = np.fromiter(map(len, bare), np.int64, len(bare))
+        marked = f"<{'><'.join(bare)}>" if bare else ""
+        points = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), np.uint32)
         points = points.astype(np.uint64)
         # a trigram begins everywhere but at the last two characters of a word
         begins = np.ones(len(points), bool)
         ends = np.cumsum(self.sizes + 2)
         begins[ends - 1] = begins[ends - 2] = False
-        at = np.flatnonzero(begins)
-        mixed = (points[at] * 0x9E3779B1 + points[at + 1]) * 0x85EBCA77 + points[at + 2]
+        mixed = points[:-2] * 0x9E3779B1
+        mixed += points[1:-1]
+        mixed *= 0x85EBCA77
+        mixed += points[2:]
         mixed *= np.uint64(0xC2B2AE3D27D4EB4F)
-        self.grams = ((mixed >> np.uint64(40)) % TRIGRAMS).astype(np.int64)
+        mixed >>= np.uint64(40)
+        self.grams = mixed[begins[:-2]].astype(np.int64) % TRIGRAMS
 
     def __len__(self) -> int:
         return len(self.number)
@@ -136,7 +143,7 @@ class Network:
         if not len(words):
             return np.zeros((0, INPUT), np.float32)
         begins = np.cumsum(words.sizes) - words.sizes
-        chars = np.add.reduceat(self.p["tri"][words.grams], begins, axis=0)
+        chars = np.add.reduceat(self.p["tri"].take(words.grams, axis=0), begins, axis=0)
         return self.p["word"][words.number] + chars / words.sizes[:, None].astype(np.float32)
 
     def projected(self, words: Lexicon) -> np.ndarray:
@@ -251,70 +258,150 @@ class Model:
         return _sigmoid(x @ self.calibration)
 
 
+def distinct_words(texts: list[list[str]]) -> tuple[list[str], np.ndarray]:
+    """Distinct words of tokenised texts, and for each word in turn which of these it is.
+
+    Arrow tells them apart by their bytes; a word holds no white space, so a line feed ends it.
+    """
+    lines = "".join(["\n".join([*t, ""]) for t in texts]).encode("utf-8", "surrogatepass")
+    ends = np.flatnonzero(np.frombuffer(lines, np.uint8) == ord("\n")) + 1
+    offsets = np.concatenate([[0], ends])
+    words = pa.Array.from_buffers(
+        pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(lines)]
+    ).dictionary_encode()
+    _, offsets, lines = words.dictionary.buffers()
+    size = np.frombuffer(offsets, np.int64)[len(words.dictionary)] if len(ends) else 0
+    distinct = lines.to_pybytes()[:size].decode("utf-8", "surrogatepass") if size else ""
+    return distinct.split("\n")[:-1], words.indices.to_numpy()
+
+
+class Numbers(dict):
+    """Words numbered from 1 as they are asked for; 0 is no word."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self) + 1
+        return number
+
+
 class Scorer:
-    """A model in a task; remembers the projections of words up to a bound."""
+    """A model in a task; remembers the projections of words up to a bound.
+
+    Texts are laid out in blocks of STEP tokens, and a window is WINDOW // STEP blocks in a row. So
+    a token is looked up once, however many windows hold it, and what a step of the recurrence
+    reads of all windows lies together: a row a gate, a column a window. The arithmetic is that of
+    `Network.forward`.
+    """
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.known: dict[str, int] = {}
-        self.proj = np.zeros((0, 2, 3 * STATE), np.float32)
-
-    def _learn(self, texts: list[list[str]]) -> None:
-        unknown = {w for t in texts for w in t if w not in self.known}
-        if len(self.known) + len(unknown) > REMEMBERED:
-            self.known, self.proj = {}, self.proj[:0]
-            unknown = {w for t in texts for w in t}
-        if unknown:
-            words = list(unknown)
-            self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
-            lexicon = Lexicon(words, self.model.network.words)
-            self.proj = np.concatenate([self.proj, self.model.network.projected(lexicon)])
+        self.known = Numbers()
+        # row 0 stands where there is no word: its update gate keeps the state as it is
+        self.proj = np.zeros((1, 2, 3 * STATE), np.float32)
+        self.proj[:, :, :STATE] = 1e3
+        self.uses = np.zeros(1, np.int64)
+
+    def _numbered(self, texts: list[list[str]]) -> np.ndarray:
+        """Numbers of all words of the texts, their projections being remembered."""
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        distinct, which = distinct_words(texts)
+        old = len(self.known)
+        numbers = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        words = list(islice(self.known, old, None))
+        self._room(old + 1 + len(words))
+        # few words at a time, so that what they are made from stays in the processor's cache
+        for at in range(0, len(words), WORDS):
+            some = Lexicon(words[at : at + WORDS], self.model.network.words)
+            self.proj[old + 1 + at :][: len(some)] = self.model.network.projected(some)
+        self.uses[numbers] += np.bincount(which, minlength=len(distinct))
+        return numbers[which]
+
+    def _room(self, rows: int) -> None:
+        """At least so many rows; room is made ahead, in steps, so that rows are seldom copied."""
+        if rows > len(self.proj):
+            more = max(rows, min(2 * len(self.proj), REMEMBERED)) - len(self.proj)
+            self.proj = np.concatenate([self.proj, np.zeros((more, 2, 3 * STATE), np.float32)])
+            self.uses = np.concatenate([self.uses, np.zeros(more, np.int64)])
+
+    def _forget(self) -> None:
+        """All but the most used words, half as many as are remembered; their uses count half."""
+        uses = self.uses[1 : len(self.known) + 1]
+        kept = np.sort(np.argsort(-uses, kind="stable")[: REMEMBERED // 2])
+        words = list(self.known)
+        rows = np.concatenate([[0], kept + 1])
+        self.known = Numbers(zip([words[i] for i in kept.tolist()], range(1, len(rows))))
+        self.proj, self.uses = self.proj[rows], self.uses[rows] // 2
+
+    @np.errstate(over="ignore")  # exp of a gate that is shut
+    def _logits(self, blocks: np.ndarray) -> np.ndarray:
+        """Logits of the windows that begin at each of the blocks but the last ones."""
+        p, span = self.model.network.p, WINDOW // STEP
+        n = len(blocks) - span + 1
+        x = self.proj.take(blocks.T.ravel(), axis=0).reshape(STEP, len(blocks), 2, 3 * STATE)
+        x = np.ascontiguousarray(x.transpose(0, 2, 3, 1))
+        states = np.empty((WINDOW, 2 * STATE, n), np.float32)
+        gates, turn = np.empty((3 * STATE, n), np.float32), np.empty((STATE, n), np.float32)
+        both, new = gates[: 2 * STATE], gates[2 * STATE :]
+        for d in (0, 1):
+            h = np.zeros((STATE, n), np.float32)
+            rec = np.ascontiguousarray(p["rec"][d].T)
+            for t in range(WINDOW) if d == 0 else range(WINDOW - 1, -1, -1):
+                own = x[t % STEP, d, :, t // STEP : t // STEP + n]
+                np.matmul(rec, h, out=gates)
+                both += own[: 2 * STATE]
+                np.negative(both, out=both)
+                np.exp(both, out=both)
+                both += 1
+                np.divide(1, both, out=both)
+                new *= both[STATE:]
+                new += own[2 * STATE :]
+                np.tanh(new, out=new)
+                new -= h
+                np.subtract(1, both[:STATE], out=turn)
+                new *= turn
+                h = np.add(h, new, out=states[t, d * STATE : (d + 1) * STATE])
+        a = np.matmul(p["att"].T, states)
+        a += p["attb"][:, None]
+        np.tanh(a, out=a)
+        live = np.concatenate([(blocks[i : i + n] > 0) for i in range(span)], axis=1)
+        e = np.ascontiguousarray(np.matmul(p["attv"], a).T) + np.where(live, 0, np.float32(-1e4))
+        e = np.exp(e - e.max(axis=1, keepdims=True)) * np.where(live, 1, np.float32(1e-9))
+        alpha = np.ascontiguousarray((e / e.sum(axis=1, keepdims=True)).T)
+        states *= alpha[:, None]
+        return np.ascontiguousarray(states.sum(axis=0).T) @ p["out"] + p["outb"][0]
 
     def windows(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Highest logit, and number of windows, of each tokenised text."""
-        best, count = np.full(len(texts), -np.inf, np.float32), np.zeros(len(texts), np.int64)
-        rows, owners, size = [], [], 0
-
-        def flush() -> None:
-            nonlocal rows, owners, size
-            if rows:
-                ids, owner = np.concatenate(rows), np.concatenate(owners)
-                for at in range(0, len(ids), BATCH):
-                    logit = self.model.network.forward(self.proj, ids[at : at + BATCH])
-                    np.maximum.at(best, owner[at : at + BATCH], logit)
-            rows, owners, size = [], [], 0
-
+        count = np.array([len(window_starts(len(t))) for t in texts], np.int64)
+        best = np.full(len(texts), -np.inf, np.float32)
+        span = WINDOW // STEP
         # as many texts at a time as have few distinct words, so the store stays in its bound
         at = 0
         while at < len(texts):
             end, held = at, 0
-            while end < len(texts) and (end == at or held + len(texts[end]) <= 2 * REMEMBERED):
+            while end < len(texts) and (end == at or held + len(texts[end]) <= REMEMBERED):
                 held += len(texts[end])
                 end += 1
-            self._learn(texts[at:end])
-            for i in range(at, end):
-                words = texts[i]
-                n = len(window_starts(len(words)))
-                codes = np.full((n - 1) * STEP + WINDOW, -1, np.int64)
-                codes[: len(words)] = np.fromiter(
-                    map(self.known.__getitem__, words), np.int64, len(words)
-                )
-                rows.append(np.lib.stride_tricks.sliding_window_view(codes, WINDOW)[::STEP])
-                owners.append(np.full(n, i))
-                count[i] = n
-                size += n
-                if size >= 8 * BATCH:
-                    flush()
-            flush()
+            numbers = self._numbered(texts[at:end])
+            sizes = np.array([len(t) for t in texts[at:end]], np.int64)
+            ends = np.cumsum(count[at:end] + span - 1)
+            begins = (ends - count[at:end] - span + 1) * STEP - (np.cumsum(sizes) - sizes)
+            codes = np.zeros(ends[-1] * STEP, np.int64)
+            codes[np.arange(len(numbers)) + np.repeat(begins, sizes)] = numbers
+            blocks = codes.reshape(-1, STEP)
+            # windows that would reach from one text into the next have no owner
+            owner = np.repeat(np.arange(at, end), count[at:end] + span - 1)
+            owner[(ends[:, None] - np.arange(1, span)).ravel()] = -1
+            for first in range(0, len(blocks) - span + 1, BATCH):
+                logit = self._logits(blocks[first : first + BATCH + span - 1])
+                own = owner[first : first + len(logit)]
+                np.maximum.at(best, own[own >= 0], logit[own >= 0])
             at = end
         return best, count
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         if self.model.network is None:
             return np.full(len(texts), self.model.share)
-        if not len(self.proj):
-            # a window without tokens still looks at a row
-            self._learn([["."]])
         best, count = self.windows([tokens(t) for t in texts])
         return self.model.score(best, count)
 

@@ -566,6 +566,53 @@ def test_toxicity_without_labels():
     assert toxicity.Scorer(toxicity.train([(1, "a", 1)])).score(["a"]).tolist() == [1]
 
 
+def plain_windows(network, texts):
+    """All windows of the texts by the pass that training uses."""
+    vocabulary = sorted({w for t in texts for w in t} | {"."})
+    number = {w: i for i, w in enumerate(vocabulary)}
+    windows = [w for t in texts for w in toxicity.windows_of(t)]
+    ids = np.array([[number[w] for w in own] + [-1] * (toxicity.WINDOW - len(own)) for own in windows])
+    owner = np.repeat(np.arange(len(texts)), [len(toxicity.windows_of(t)) for t in texts])
+    return network.projected(toxicity.Lexicon(vocabulary, network.words)), ids, owner
+
+
+def test_toxicity_windows_in_blocks_equal_plain_windows(monkeypatch):
+    """Neighbours in a batch, its borders and a full store change nothing."""
+    network = toxicity.train(toxic_rows(200), rounds=2, batches=30).network
+    rng = random.Random(5)
+    words = [f"word{i}" for i in range(300)] + ["vile", "é,", "...", "a\x00b", "\ud800x", "\u0130"]
+    texts = [rng.choices(words, k=k) for k in [0, 0, *range(40), 0, 1000, 61, 0]]
+    for batch, remembered in ((2048, 100_000), (7, 90), (1, 1)):
+        proj, ids, owner = plain_windows(network, texts)
+        best = np.full(len(texts), -np.inf, np.float32)
+        np.maximum.at(best, owner, network.forward(proj, ids))
+        monkeypatch.setattr(toxicity, "BATCH", batch)
+        monkeypatch.setattr(toxicity, "REMEMBERED", remembered)
+        found, n = toxicity.Scorer(toxicity.Model(network, np.zeros(3), 0.0)).windows(texts)
+        np.testing.assert_allclose(found, best, atol=1e-5)
+        assert n.tolist() == np.bincount(owner).tolist()
+    nothing = toxicity.Scorer(toxicity.Model(network, np.zeros(3), 0.0))
+    assert [len(x) for x in nothing.windows([])] == [0, 0] and nothing.windows([[]])[1].tolist() == [1]
+
+
+def test_toxicity_projects_frequent_words_once(monkeypatch):
+    """A store that overflows with rare words keeps those that are used over and over."""
+    model = toxicity.train(toxic_rows(200), rounds=1, batches=10)
+    often = [f"word{i}" for i in range(20)]
+    texts = [" ".join([*often * 5, *(f"rare{i}x{k}" for k in range(40))]) for i in range(60)]
+    expected = toxicity.Scorer(model).score(texts)
+    monkeypatch.setattr(toxicity, "REMEMBERED", 400)
+    asked, begin = [], toxicity.Lexicon.__init__
+    monkeypatch.setattr(
+        toxicity.Lexicon, "__init__", lambda self, words, known: (asked.extend(words), begin(self, words, known))[1]
+    )
+    scorer = toxicity.Scorer(model)
+    scores = np.concatenate([scorer.score(texts[i : i + 2]) for i in range(0, 60, 2)])
+    np.testing.assert_allclose(scores, expected, atol=1e-5)
+    assert [asked.count(w) for w in often] == [1] * 20
+    assert len(scorer.known) <= 2 * 400
+
+
 def test_every_token_is_in_the_middle_of_a_window():
     for n in range(200):
         starts = toxicity.window_starts(n)
